@@ -1,0 +1 @@
+"""Streaming: the source job is a synchronous batch; see README (no streaming operators)."""
