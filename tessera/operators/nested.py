@@ -15,36 +15,58 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def collect_ordered(df: DataFrame, keys: Sequence[str], sort_cols: Sequence[Column],
+def _cmp(a: Column, b: Column, desc: bool) -> Column:
+    """-1/0/1 comparator of two values; ascending puts NULLs first, descending last."""
+    lt, gt = (F.lit(1), F.lit(-1)) if desc else (F.lit(-1), F.lit(1))
+    return (F.when(a.isNull() & b.isNull(), 0)
+            .when(a.isNull(), F.lit(1) if desc else F.lit(-1))
+            .when(b.isNull(), F.lit(-1) if desc else F.lit(1))
+            .when(a < b, lt).when(a > b, gt).otherwise(0))
+
+
+def collect_ordered(df: DataFrame, keys: Sequence[str],
+                    order: Sequence[Column | tuple[Column, bool]],
                     payload: Column, alias: str) -> DataFrame:
-    """Per key, an array of ``payload`` ordered by ``sort_cols`` (applied after collection).
+    """Per key, an array of ``payload`` in the given order (applied after collection).
 
-    A ``sort`` before ``collect_list`` guarantees nothing after a shuffle;
-    sorting the collected structs does.  ``sort_cols`` must be orderable; to
-    sort descending pass e.g. a negated number or use ``desc_text``.
+    ``order`` items are columns (ascending) or ``(column, descending)``.  A
+    ``sort`` before ``collect_list`` guarantees nothing after a shuffle;
+    sorting the collected structs does.  Give a total order.
     """
-    sort_fields = [c.alias(f"_s{i}") for i, c in enumerate(sort_cols)]
-    coll = F.collect_list(F.struct(*sort_fields, payload.alias("_p")))
-    return (df.groupBy(*keys).agg(F.array_sort(coll).alias("_arr"))
+    spec = [(o, False) if isinstance(o, Column) else (o[0], bool(o[1])) for o in order]
+    fields = [c.alias(f"_s{i}") for i, (c, _) in enumerate(spec)]
+    coll = F.collect_list(F.struct(*fields, payload.alias("_p")))
+    if not any(d for _, d in spec):
+        ordered = F.array_sort(coll)
+    else:
+        def comparator(a, b):
+            out = F.lit(0)
+            for i in reversed(range(len(spec))):
+                c = _cmp(a[f"_s{i}"], b[f"_s{i}"], spec[i][1])
+                out = F.when(c != 0, c).otherwise(out)
+            return out
+        ordered = F.array_sort(coll, comparator)
+    return (df.groupBy(*keys).agg(ordered.alias("_arr"))
             .select(*keys, F.transform("_arr", lambda e: e["_p"]).alias(alias)))
 
 
-def keyed_object(df: DataFrame, keys: Sequence[str], map_key: str, fields: Sequence[str],
-                 alias: str, finish: Callable[[Column], Column] | None = None) -> DataFrame:
-    """Per key, a map ``map_key -> struct(fields)`` with keys in ascending order.
+def keyed_object(df: DataFrame, keys: Sequence[str], map_key: str, order: Sequence[str],
+                 value: Column, alias: str) -> DataFrame:
+    """Per key, a map ``map_key -> value`` with keys in ascending order.
 
-    Duplicate map keys are collapsed first (the smallest full row wins), and
-    rows with a NULL map key are dropped, so ``map_from_entries`` never sees
-    a duplicate.  ``finish`` turns the raw (orderable) struct into the
-    published value, e.g. to convert fields to VARIANT.
+    Duplicate map keys are collapsed first: the row with the smallest
+    ``order`` tuple wins (``min_by``, a partial aggregate; the value itself
+    is carried, never compared).  Rows with a NULL map key are dropped, so
+    ``map_from_entries`` never sees a duplicate or NULL key.
     """
+    ordkey = F.struct(*[F.col(c) for c in order])
     picked = (df.filter(F.col(map_key).isNotNull())
               .groupBy(*keys, map_key)
-              .agg(F.min(F.struct(*[F.col(f) for f in fields])).alias("_v")))
-    coll = F.array_sort(F.collect_list(F.struct(F.col(map_key).alias("_k"), F.col("_v"))))
-    finish = finish or (lambda v: v)
-    entries = F.transform(coll, lambda e: F.struct(e["_k"].alias("key"), finish(e["_v"]).alias("value")))
-    return picked.groupBy(*keys).agg(F.map_from_entries(entries).alias(alias))
+              .agg(F.min_by(value, ordkey).alias("_v")))
+    coll = F.collect_list(F.struct(F.col(map_key).alias("key"), F.col("_v").alias("value")))
+    by_key = F.array_sort(coll, lambda a, b: F.when(a["key"] < b["key"], -1)
+                          .when(a["key"] > b["key"], 1).otherwise(0))
+    return picked.groupBy(*keys).agg(F.map_from_entries(by_key).alias(alias))
 
 
 def nonempty(arr: Column) -> Column:

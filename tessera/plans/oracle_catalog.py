@@ -121,7 +121,7 @@ def _deps(sql: str, known: dict[str, str]) -> list[str]:
     return [n for n in known if n in words]
 
 
-def with_views(body: str, extra: dict[str, str] | None = None) -> str:
+def with_views(body: str, extra: dict[str, str] | None = None, recursive: bool = False) -> str:
     """Prefix ``body`` with the CTEs it (transitively) references, dependencies first.
 
     ``extra`` adds query-specific CTEs (which may use catalog views).
@@ -144,4 +144,4 @@ def with_views(body: str, extra: dict[str, str] | None = None) -> str:
     if not order:
         return body
     ctes = ",\n".join(f"{n} as ({known[n]}\n)" for n in order)
-    return f"with {ctes}\n{body}"
+    return f"with {'recursive ' if recursive else ''}{ctes}\n{body}"
