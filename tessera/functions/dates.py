@@ -55,10 +55,12 @@ def next_midnight(as_of) -> Column:
 def valid_on(start, end, as_of) -> Column:
     """Open-ended interval test at tomorrow midnight.
 
-    (start is NULL or start < tomorrow) and (end is NULL or tomorrow <= end);
-    the bounds are date text, parsed here.  Equivalent to the four-branch OR
-    of the source, which Catalyst would factor to the same two conjuncts.
+    (start is NULL or start < tomorrow) and (end is NULL or tomorrow <= end).
+    Equivalent to the four-branch OR of the source, which Catalyst would
+    factor to the same two conjuncts.  ``start``/``end`` are timestamps:
+    parse date text once into columns first (``parse_date_text``), so the
+    parser is not expanded once per reference inside the predicate.
     """
     t = next_midnight(as_of)
-    s, e = parse_date_text(start), parse_date_text(end)
+    s, e = _c(start), _c(end)
     return (s.isNull() | (s < t)) & (e.isNull() | (t <= e))

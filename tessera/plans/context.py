@@ -13,5 +13,6 @@ BRAND_CODE = "r1"
 
 
 def stages_for(spark: SparkSession, sf_dir: str, as_of: str = AS_OF,
-               brand_code: str = BRAND_CODE) -> Stages:
-    return Stages(Catalog(spark, sf_dir), as_of=as_of, brand_code=brand_code)
+               brand_code: str = BRAND_CODE, keep_shared: bool = False) -> Stages:
+    return Stages(Catalog(spark, sf_dir, keep_shared=keep_shared), as_of=as_of,
+                  brand_code=brand_code)

@@ -43,8 +43,10 @@ def materialise_stages(st: Stages) -> None:
 
 def build_feed(spark: SparkSession, sf_dir: str, brand_code: str = "r1",
                as_of: str = "2024-01-15", brand_label: str | None = None,
-               dedupe_products: bool = True, materialise: bool = False) -> DataFrame:
-    st = Stages(Catalog(spark, sf_dir), as_of=as_of, brand_code=brand_code)
+               dedupe_products: bool = True, materialise: bool = False,
+               keep_shared: bool = True) -> DataFrame:
+    st = Stages(Catalog(spark, sf_dir, keep_shared=keep_shared), as_of=as_of,
+                brand_code=brand_code)
     if materialise:
         materialise_stages(st)
     label = brand_label or default_brand_label(st.cat, brand_code)

@@ -28,12 +28,12 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import clean_date_text, valid_on
+from ..functions.dates import parse_date_text, valid_on
 from ..functions.money import range_high, range_low
 from ..functions.text import nonblank
 from ..operators.aggregates import eav_pivot, string_agg
 from ..operators.joins import exists_in, fallback_lookup
-from ..sources.catalog import Catalog
+from ..sources.catalog import Catalog, shared
 
 DEC2 = "decimal(10,2)"
 SUM_DEC = "decimal(38,2)"
@@ -72,15 +72,25 @@ class Stages:
         self.cat = catalog
         self.as_of = as_of
         self.brand_code = brand_code
+        self._kept = catalog._kept
+
+    @property
+    def keep_shared(self) -> bool:
+        return self.cat.keep_shared
 
     # -- categories ------------------------------------------------------------
     @cached_property
     def categories(self) -> DataFrame:
         """Categories with non-date bound texts set to NULL (keys compare case-sensitively)."""
-        c = self.cat.category
-        return c.select("category_id", "parent_id", "display_name", "online_flag",
-                        clean_date_text("online_from").alias("online_from"),
-                        clean_date_text("online_to").alias("online_to"), "is_hidden")
+        c = self.cat.category.select(
+            "category_id", "parent_id", "display_name", "online_flag", "online_from", "online_to",
+            "is_hidden", parse_date_text("online_from").alias("online_from_ts"),
+            parse_date_text("online_to").alias("online_to_ts"))
+        return c.select(
+            "category_id", "parent_id", "display_name", "online_flag",
+            F.when(F.col("online_from_ts").isNotNull(), F.col("online_from")).alias("online_from"),
+            F.when(F.col("online_to_ts").isNotNull(), F.col("online_to")).alias("online_to"),
+            "is_hidden", "online_from_ts", "online_to_ts")
 
     @cached_property
     def live_categories(self) -> DataFrame:
@@ -88,7 +98,7 @@ class Stages:
         c = self.categories
         return c.filter((F.coalesce(F.col("is_hidden"), F.lit(0)) == 0)
                         & (F.coalesce(F.col("online_flag"), F.lit("false")) == "true")
-                        & valid_on("online_from", "online_to", self.as_of))
+                        & valid_on("online_from_ts", "online_to_ts", self.as_of))
 
     # -- products ----------------------------------------------------------------
     @cached_property
@@ -141,7 +151,7 @@ class Stages:
                     F.min("selling_price").alias("min_price"),
                     F.sum("selling_price").alias("sum_price")))
 
-    @cached_property
+    @shared
     def sets(self) -> DataFrame:
         """Sets passing both leg gates, per child product: stock, min/total price, international."""
         n_rows = (self.cat.product_set.groupBy("set_id", "product_id")
@@ -183,7 +193,7 @@ class Stages:
                                out="primary_category",
                                right_filter=nonblank("primary_category"))
 
-    @cached_property
+    @shared
     def products(self) -> DataFrame:
         """Set x product x primary category x variation group: stock, min and max price."""
         n_rows = (self.cat.product_set

@@ -20,8 +20,10 @@ Scale notes (1000 executors, lineitem ~ 600 billion rows):
 
 from __future__ import annotations
 
+import functools
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,12 +36,37 @@ def _s(c) -> F.Column:
     return F.col(c).cast("string") if isinstance(c, str) else c.cast("string")
 
 
+def shared(fn):
+    """A lazily built relation that several branches of one plan read.
+
+    Cached on the instance; when the owner has ``keep_shared`` on it is also
+    persisted (memory, spilling to disk) so the branches derive it once.  A
+    persisted block lost with an executor is recomputed from its lineage.
+    """
+    @functools.wraps(fn)
+    def build(self):
+        df = fn(self)
+        if self.keep_shared:
+            df = df.persist(StorageLevel.MEMORY_AND_DISK)
+            self._kept.append(df)
+        return df
+    return cached_property(build)
+
+
 class Catalog:
     """Lazy source relations over one scale-factor directory."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, keep_shared: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.keep_shared = keep_shared
+        self._kept: list[DataFrame] = []
+
+    def release(self) -> None:
+        """Unpersist every relation this catalog kept."""
+        for df in self._kept:
+            df.unpersist()
+        self._kept.clear()
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
@@ -69,14 +96,14 @@ class Catalog:
                 .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
                 .select("s_suppkey", "n_nationkey", "n_regionkey"))
 
-    @cached_property
+    @shared
     def line_geo(self) -> DataFrame:
         """lineitem rows with the supplier's nation and region attached."""
         li = self.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
         return li.join(self.supplier_geo, F.col("l_suppkey") == F.col("s_suppkey"))
 
     # -- products, brands --------------------------------------------------
-    @cached_property
+    @shared
     def product(self) -> DataFrame:
         """dbo.Product + sfra.Product.  extra: description, pcm_brand,
         customer_review_count, customer_review_average."""
@@ -97,7 +124,7 @@ class Catalog:
             .alias("customer_review_average"),
         )
 
-    @cached_property
+    @shared
     def brand(self) -> DataFrame:
         """dbo.Brand; at most one row per TPC-H brand (25), so broadcast-safe."""
         bid = F.substring("p_brand", 7, 100).cast("int")
@@ -123,7 +150,7 @@ class Catalog:
                 .agg(F.when(F.count(F.lit(1)) == 1, lo)
                      .otherwise(F.concat(lo, F.lit("-"), hi)).alias("price_text")))
 
-    @cached_property
+    @shared
     def product_set(self) -> DataFrame:
         """sfra.SpecialProductSet: one row per (set, leg, product, colour).
         extra: url.  ``list_price``/``sale_price`` are both the price text."""
@@ -151,7 +178,7 @@ class Catalog:
         )
 
     # -- style / size / inventory / price -----------------------------------
-    @cached_property
+    @shared
     def style(self) -> DataFrame:
         li = self.lineitem
         return li.select(
@@ -162,7 +189,7 @@ class Catalog:
             F.concat(F.lit("MF"), _s(F.col("l_suppkey") % 11)).alias("mf_item_id"),
         ).distinct()
 
-    @cached_property
+    @shared
     def _sku_agg(self) -> DataFrame:
         li = self.lineitem
         qty = F.col("l_quantity").cast("int")
@@ -186,7 +213,7 @@ class Catalog:
     def inventory(self) -> DataFrame:
         return self._sku_agg.select("size_id", "quantity", "backorder_quantity")
 
-    @cached_property
+    @shared
     def price(self) -> DataFrame:
         li = self.lineitem
         return li.select(
@@ -247,7 +274,7 @@ class Catalog:
                     F.concat(F.lit("n"), _s("n_nationkey")).alias("category_id"),
                     "primary_category"))
 
-    @cached_property
+    @shared
     def set_category(self) -> DataFrame:
         """sfra.CategoryProduct rows whose product-id is a set id."""
         g = self.line_geo
