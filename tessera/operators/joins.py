@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -20,17 +20,17 @@ def exists_in(df: DataFrame, other: DataFrame, on) -> DataFrame:
 
 def top1_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
                  cols: Sequence[str] | None = None) -> DataFrame:
-    """One row per key: the smallest row in the ascending total order ``order_by``.
+    """One row per key: the first row in the ascending total order ``order_by``.
 
-    Written as ``min(struct(order..., cols...))`` instead of a
-    ``row_number()`` window: the min is a partial aggregate, combined
-    map-side, so a key holding a third of all rows never lands whole in one
-    task.  ``order_by`` must end in columns that make the order total.
+    ``row_number() = 1`` over a window: Spark plans a partial
+    ``WindowGroupLimit`` before the shuffle, so every map task keeps only its
+    local first row per key and a key holding a third of all rows is reduced
+    before it moves.  ``order_by`` must make the order total.
     """
     cols = list(cols) if cols is not None else [c for c in df.columns if c not in keys]
-    fields = list(order_by) + [c for c in cols if c not in order_by]
-    best = F.min(F.struct(*[F.col(c) for c in fields])).alias("_top")
-    return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_top.{c}").alias(c) for c in cols])
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc() for c in order_by])
+    return (df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
+            .select(*keys, *[c for c in cols if c not in keys]))
 
 
 def left_join_on(df: DataFrame, other: DataFrame, keys: Sequence[str],

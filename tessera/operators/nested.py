@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -51,18 +51,20 @@ def collect_ordered(df: DataFrame, keys: Sequence[str],
 
 
 def keyed_object(df: DataFrame, keys: Sequence[str], map_key: str, order: Sequence[str],
-                 value: Column, alias: str) -> DataFrame:
+                 value: Column, alias: str, unique: bool = False) -> DataFrame:
     """Per key, a map ``map_key -> value`` with keys in ascending order.
 
     Duplicate map keys are collapsed first: the row with the smallest
-    ``order`` tuple wins (``min_by``, a partial aggregate; the value itself
-    is carried, never compared).  Rows with a NULL map key are dropped, so
-    ``map_from_entries`` never sees a duplicate or NULL key.
+    ``order`` tuple wins (``row_number() = 1``, reduced map-side by a partial
+    window group limit; the value itself is never compared).  Rows with a
+    NULL map key are dropped, so ``map_from_entries`` never sees a duplicate
+    or NULL key.
     """
-    ordkey = F.struct(*[F.col(c) for c in order])
-    picked = (df.filter(F.col(map_key).isNotNull())
-              .groupBy(*keys, map_key)
-              .agg(F.min_by(value, ordkey).alias("_v")))
+    picked = df.filter(F.col(map_key).isNotNull())
+    if not unique:  # ``unique=True``: the caller already has one row per (keys, map_key)
+        w = Window.partitionBy(*keys, map_key).orderBy(*[F.col(c).asc() for c in order])
+        picked = picked.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
+    picked = picked.select(*keys, map_key, value.alias("_v"))
     coll = F.collect_list(F.struct(F.col(map_key).alias("key"), F.col("_v").alias("value")))
     by_key = F.array_sort(coll, lambda a, b: F.when(a["key"] < b["key"], -1)
                           .when(a["key"] > b["key"], 1).otherwise(0))

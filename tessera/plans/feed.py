@@ -117,13 +117,20 @@ VARIANT_BASE = ("title", "description", "brand", "is_marketplace_item", "availab
 
 
 def variant_rows(st: Stages) -> DataFrame:
-    """One row per (set, product row) that qualifies as a variant, with its raw fields."""
+    """One row per (set, variation group) that qualifies as a variant, with its raw fields."""
     cat = st.cat
     p1 = st.products.select("set_id", "product_id", "variation_group", "inv_availability",
                             "min_price", "max_price")
     p1 = exists_in(p1, st.products2.select("product_id"), "product_id")
     # (the set's own product-set rows always match: these rows were built from them)
     p1 = exists_in(p1, st.product_in_stock.select("product_id"), "product_id")
+    p1 = exists_in(p1, st.known_products.select("product_id"), "product_id")
+    # one row per (set, variation group) -- picked on these narrow rows, before the
+    # wide attribute columns are attached (the smallest full row wins)
+    p1 = top1_per_key(p1.filter(F.col("variation_group").isNotNull()),
+                      ["set_id", "variation_group"],
+                      ["product_id", "min_price", "max_price", "inv_availability"],
+                      ["product_id", "inv_availability", "min_price", "max_price"])
     pr = st.known_products.select(
         "product_id", "title", "description", "brand_name", "brand_code", "is_international",
         "brand_id", "pcm_brand", "customer_review_count", "customer_review_average")
@@ -157,8 +164,8 @@ def _variant_value() -> Column:
 
 def variants(st: Stages) -> DataFrame:
     rows = variant_rows(st)
-    return keyed_object(rows, ["set_id"], "variation_group", ["product_id", "sale_price", "price"],
-                        _variant_value(), "variants")
+    return keyed_object(rows, ["set_id"], "variation_group", ["product_id"], _variant_value(),
+                        "variants", unique=True)
 
 
 # -- views -----------------------------------------------------------------------------------

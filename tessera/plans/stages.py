@@ -113,16 +113,50 @@ class Stages:
         return self.known_products.filter(F.col("status") == 1)
 
     # -- leg gates ------------------------------------------------------------------
+    @shared
+    def size_fact(self) -> DataFrame:
+        """Size grain: style x size x inventory, with the style's product, colour and status."""
+        st = self.cat.style.select("style_id", "product_id", "color_id",
+                                   F.col("status").alias("style_status"))
+        sz = self.cat.size.select("size_id", "style_id", F.col("status").alias("size_status"),
+                                  "was_price")
+        return st.join(sz, "style_id").join(self.cat.inventory, "size_id")
+
     @cached_property
     def color_stock(self) -> DataFrame:
         """Per colour: units (on hand + back order) over active sizes of every style in it."""
-        st = self.cat.style.select("style_id", "color_id")
-        sz = self.cat.size.filter(F.col("status") == 1).select("size_id", "style_id")
-        inv = self.cat.inventory
-        return (st.join(sz, "style_id").join(inv, "size_id")
+        return (self.size_fact.filter(F.col("size_status") == 1)
                 .groupBy("color_id")
                 .agg(F.sum(F.col("quantity") + F.col("backorder_quantity")).alias("stock")))
 
+    @shared
+    def sku_rollup(self) -> DataFrame:
+        """Per (product, colour): every size-price rollup the feed needs, in one pass.
+
+        One join chain (size fact x price) and one aggregation replace a chain
+        per rollup; each rollup keeps its own row filter as a conditional
+        aggregate, and a count of qualifying rows tells whether the inner join
+        of that rollup would have produced the group at all.
+        """
+        pc = self.cat.price.select("size_id", "selling_price", F.col("status").alias("price_status"))
+        f = self.size_fact.join(pc, "size_id")
+        units = F.col("quantity") + F.col("backorder_quantity")
+        active = (F.col("size_status") == 1) & (F.col("price_status") == 1)
+        stocked = active & (F.col("style_status") == 1) & (units > 0)
+        price, was = F.col("selling_price"), F.col("was_price")
+        return f.groupBy("product_id", "color_id").agg(
+            F.sum(units).alias("stock_all"), F.min(price).alias("min_all"),
+            F.sum(price).alias("sum_all"),
+            F.count(F.when(active, 1)).alias("n_active"),
+            F.sum(F.when(active, units)).alias("stock_active"),
+            F.min(F.when(active, price)).alias("min_active"),
+            F.max(F.when(active, price)).alias("max_active"),
+            F.count(F.when(stocked, 1)).alias("n_stocked"),
+            F.max(F.when(stocked, was)).alias("was_high"), F.min(F.when(stocked, was)).alias("was_low"),
+            F.max(F.when(stocked, price)).alias("sale_high"),
+            F.min(F.when(stocked, price)).alias("sale_low"),
+            F.sum(F.when(stocked, F.col("quantity"))).alias("qty_stocked"))
+
     @cached_property
     def leg_stock(self) -> DataFrame:
         """Per set: stock behind leg 1 and leg 2 (NULL when the leg has none)."""
@@ -141,15 +175,9 @@ class Stages:
     @cached_property
     def product_stock(self) -> DataFrame:
         """Per product: units, lowest and total selling price over all its size-price rows."""
-        st = self.cat.style.select("style_id", "product_id")
-        sz = self.cat.size.select("size_id", "style_id")
-        inv = self.cat.inventory
-        pc = self.cat.price.select("size_id", "selling_price")
-        return (st.join(sz, "style_id").join(inv, "size_id").join(pc, "size_id")
-                .groupBy("product_id").agg(
-                    F.sum(F.col("quantity") + F.col("backorder_quantity")).alias("stock"),
-                    F.min("selling_price").alias("min_price"),
-                    F.sum("selling_price").alias("sum_price")))
+        return self.sku_rollup.groupBy("product_id").agg(
+            F.sum("stock_all").alias("stock"), F.min("min_all").alias("min_price"),
+            F.sum("sum_all").alias("sum_price"))
 
     @shared
     def sets(self) -> DataFrame:
@@ -174,15 +202,10 @@ class Stages:
     @cached_property
     def sku_by_product_color(self) -> DataFrame:
         """Per (product, colour): units and price range over active sizes with active prices."""
-        st = self.cat.style.select("style_id", "product_id", "color_id")
-        sz = self.cat.size.filter(F.col("status") == 1).select("size_id", "style_id")
-        inv = self.cat.inventory
-        pc = self.cat.price.filter(F.col("status") == 1).select("size_id", "selling_price")
-        return (st.join(sz, "style_id").join(inv, "size_id").join(pc, "size_id")
-                .groupBy("product_id", "color_id").agg(
-                    F.sum(F.col("quantity") + F.col("backorder_quantity")).alias("stock"),
-                    F.min("selling_price").alias("min_price"),
-                    F.max("selling_price").alias("max_price")))
+        return (self.sku_rollup.filter(F.col("n_active") > 0)
+                .select("product_id", "color_id", F.col("stock_active").alias("stock"),
+                        F.col("min_active").alias("min_price"),
+                        F.col("max_active").alias("max_price")))
 
     @cached_property
     def product_category(self) -> DataFrame:
@@ -260,14 +283,9 @@ class Stages:
     @cached_property
     def product_in_stock(self) -> DataFrame:
         """Per product with at least one active, stocked size-price: price and stock rollup."""
-        st = self.cat.style.filter(F.col("status") == 1).select("style_id", "product_id")
-        sz = self.cat.size.filter(F.col("status") == 1).select("size_id", "style_id", "was_price")
-        inv = self.cat.inventory.filter(F.col("quantity") + F.col("backorder_quantity") > 0)
-        pc = self.cat.price.filter(F.col("status") == 1).select("size_id", "selling_price")
-        return (pc.join(sz, "size_id").join(inv, "size_id").join(st, "style_id")
-                .groupBy("product_id").agg(
-                    F.max("was_price").alias("item_listpricehigh"),
-                    F.min("was_price").alias("item_listpricelow"),
-                    F.max("selling_price").alias("item_salepricehigh"),
-                    F.min("selling_price").alias("item_salepricelow"),
-                    F.sum("quantity").alias("inventory")))
+        return (self.sku_rollup.filter(F.col("n_stocked") > 0).groupBy("product_id").agg(
+            F.max("was_high").alias("item_listpricehigh"),
+            F.min("was_low").alias("item_listpricelow"),
+            F.max("sale_high").alias("item_salepricehigh"),
+            F.min("sale_low").alias("item_salepricelow"),
+            F.sum("qty_stocked").alias("inventory")))

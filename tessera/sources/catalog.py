@@ -265,10 +265,12 @@ class Catalog:
     def category_product(self) -> DataFrame:
         """sfra.CategoryProduct keyed by child product."""
         g = self.line_geo
+        # max over the text ('' < ' ' < 'true'), taken on an int code so the
+        # aggregate stays a hash aggregate (a string max sorts)
+        code = F.when(F.col("l_linenumber") == 1, 2).when(F.col("l_linenumber") == 2, 1).otherwise(0)
+        top = F.max(code)
         return (g.groupBy("l_partkey", "n_regionkey", "n_nationkey").agg(
-            F.max(F.when(F.col("l_linenumber") == 1, "true")
-                  .when(F.col("l_linenumber") == 2, " ").otherwise(""))
-            .alias("primary_category"))
+            F.when(top == 2, "true").when(top == 1, " ").otherwise("").alias("primary_category"))
             .select(F.col("l_partkey").alias("product_id"),
                     F.concat(F.lit("r"), _s("n_regionkey")).alias("site_id"),
                     F.concat(F.lit("n"), _s("n_nationkey")).alias("category_id"),
@@ -278,9 +280,9 @@ class Catalog:
     def set_category(self) -> DataFrame:
         """sfra.CategoryProduct rows whose product-id is a set id."""
         g = self.line_geo
+        top = F.max(F.when(F.col("l_linenumber") == 1, 1).otherwise(0))
         return (g.groupBy("l_orderkey", "n_regionkey", "n_nationkey").agg(
-            F.max(F.when(F.col("l_linenumber") == 1, "true").otherwise(""))
-            .alias("primary_category"))
+            F.when(top == 1, "true").otherwise("").alias("primary_category"))
             .select(F.col("l_orderkey").alias("set_id"),
                     F.concat(F.lit("r"), _s("n_regionkey")).alias("site_id"),
                     F.concat(F.lit("n"), _s("n_nationkey")).alias("category_id"),
@@ -328,13 +330,16 @@ class Catalog:
 
     @cached_property
     def set_url(self) -> DataFrame:
-        """Result of the set-url function: (set, site) -> url."""
-        g = self.line_geo.filter(F.col("l_orderkey") % 10 != 0)
-        return g.select(
-            F.col("l_orderkey").alias("set_id"),
-            F.concat(F.lit("r"), _s("n_regionkey")).alias("site_id"),
-            F.concat(F.lit("/"), _s("n_regionkey"), F.lit("/sets/"), _s("l_orderkey")).alias("url"),
-        ).distinct()
+        """Result of the set-url function: (set, site) -> url.
+
+        Its rows are the (set, site) pairs of ``set_category`` (same join, same
+        grain), so it is projected from that aggregate instead of another pass.
+        """
+        sc = self.set_category.filter(F.col("set_id") % 10 != 0)
+        site_no = F.substring("site_id", 2, 20)
+        return sc.select("set_id", "site_id",
+                         F.concat(F.lit("/"), site_no, F.lit("/sets/"), _s("set_id")).alias("url")
+                         ).distinct()
 
     @cached_property
     def product_url(self) -> DataFrame:
