@@ -71,6 +71,7 @@ def keyed_object(df: DataFrame, keys: Sequence[str], map_key: str, order: Sequen
     return picked.groupBy(*keys).agg(F.map_from_entries(by_key).alias(alias))
 
 
-def nonempty(arr: Column) -> Column:
+def nonempty(arr: Column | str) -> Column:
     """NULL instead of an empty array/map, so the JSON key is omitted."""
+    arr = F.col(arr) if isinstance(arr, str) else arr
     return F.when(F.size(arr) > 0, arr)
