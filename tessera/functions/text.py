@@ -51,7 +51,12 @@ def scalar_or_array(text) -> Column:
     Returned as a VARIANT so one field can carry either shape; ``to_json``
     then quotes and escapes the values itself.
     """
-    t = _c(text)
+    if isinstance(text, str):  # one SQL expression: a single call to build, same plan
+        c = f"`{text}`"
+        return F.expr(f"CASE WHEN {c} IS NULL THEN CAST(NULL AS VARIANT) "
+                      f"WHEN instr({c}, '|') = 0 THEN CAST({c} AS VARIANT) "
+                      f"ELSE CAST(split({c}, '[|]') AS VARIANT) END")
+    t = text
     return (F.when(t.isNull(), F.lit(None).cast("variant"))
             .when(is_single_valued(t), t.cast("variant"))
             .otherwise(split_multi(t).cast("variant")))

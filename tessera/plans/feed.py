@@ -156,10 +156,14 @@ def variant_rows(st: Stages) -> DataFrame:
 
 
 def _variant_value() -> Column:
-    base = [F.col(k).alias(k) for k in VARIANT_BASE]
-    piv = [scalar_or_array(F.col(f"a_{i}")).alias(output_key(n))
-           for i, n in enumerate(PIVOT_NAMES)]
-    return F.struct(F.struct(*base, *piv).alias("attributes"))
+    """{"attributes": {13 base fields, 54 pivoted fields as string-or-array}} as one SQL expression."""
+    def soa(c: str) -> str:
+        return (f"CASE WHEN {c} IS NULL THEN CAST(NULL AS VARIANT) "
+                f"WHEN instr({c}, '|') = 0 THEN CAST({c} AS VARIANT) "
+                f"ELSE CAST(split({c}, '[|]') AS VARIANT) END")
+    base = [f"'{k}', `{k}`" for k in VARIANT_BASE]
+    piv = [f"'{output_key(n)}', {soa(f'`a_{i}`')}" for i, n in enumerate(PIVOT_NAMES)]
+    return F.expr(f"named_struct('attributes', named_struct({', '.join(base + piv)}))")
 
 
 def variants(st: Stages) -> DataFrame:
@@ -194,11 +198,14 @@ def view_paths(st: Stages) -> DataFrame:
 def views(st: Stages) -> DataFrame:
     sets = st.sets.select("set_id").distinct()
     sites = exists_in(st.cat.set_category.select("set_id", "site_id").distinct(), sets, "set_id")
-    v = (sites.join(st.cat.set_url, ["set_id", "site_id"])
-         .join(view_paths(st), ["set_id", "site_id"], "left"))
+    urls = sites.join(st.cat.set_url, ["set_id", "site_id"])
+    # one url per (set, site), picked before the path arrays are attached
+    urls = top1_per_key(urls.filter(F.col("site_id").isNotNull()), ["set_id", "site_id"], ["url"],
+                        ["url"])
+    v = urls.join(view_paths(st), ["set_id", "site_id"], "left")
     value = F.struct(F.struct(nonempty(F.col("category_paths")).alias("category_paths"),
                               F.col("url").alias("url")).alias("attributes"))
-    return keyed_object(v, ["set_id"], "site_id", ["url"], value, "views")
+    return keyed_object(v, ["set_id"], "site_id", ["url"], value, "views", unique=True)
 
 
 # -- documents ---------------------------------------------------------------------------------

@@ -27,6 +27,12 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # collect_list/collect_set aggregate in an object hash map that switches to
+        # sort-based aggregation after this many keys per task (default 128); nested
+        # collections group tens of thousands of sets per task, and sorting their wide
+        # rows cost more than the whole rest of the stage.  Memory stays bounded by the
+        # task's input; lower it on executors with little memory per core.
+        .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "65536")
         .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "16g"))
     )
     if shuffle_partitions is not None:
