@@ -61,28 +61,26 @@ def fallback_lookup(left: DataFrame, right: DataFrame, key: str, prefer: tuple[s
     returned grouped as ``(left columns, out, mult)`` where ``mult`` is the
     number of joined rows carrying that value.  The second join adds every
     candidate again, so the literal plan emits |r1| x |r2| pairs per key;
-    here both sides are counted per key instead and no pair is formed.
-    Rows with no candidate at all keep ``out`` NULL and ``mult`` 1.
+    here candidates are first counted per (key, preferred column, value), the
+    counts joined to the left rows once, and windows over each left row
+    (same partitioning as the join, no extra shuffle) give the total and
+    whether a preferred candidate exists.  No pair is ever formed.  Rows with
+    no candidate at all keep ``out`` NULL and ``mult`` 1.
     """
     lcol, rcol = prefer
     r = right if right_filter is None else right.filter(right_filter)
-    r = r.select(F.col(key), F.col(rcol).alias("_pref"), F.col(value).alias("_val"))
-    # per key: how many candidates in total (r2 rows)
-    total = r.groupBy(key).agg(F.count(F.lit(1)).alias("_m2"))
-    # per key and preferred site: count of each value (r1 rows)
-    by_pref = r.groupBy(key, "_pref", "_val").agg(F.count(F.lit(1)).alias("_c1"))
-    any_val = r.groupBy(key, "_val").agg(F.count(F.lit(1)).alias("_c2"))
-
-    lk = left.select(*left.columns)
-    preferred = (lk.join(by_pref, (lk[key] == by_pref[key]) & (lk[lcol] == by_pref["_pref"]))
-                 .drop(by_pref[key]).drop("_pref")
-                 .join(total, key)
-                 .select(*left.columns, F.col("_val").alias(out),
-                         (F.col("_c1") * F.col("_m2")).alias("mult")))
-    pref_keys = by_pref.select(F.col(key).alias("_k"), "_pref").distinct()
-    rest = lk.join(pref_keys, (lk[key] == pref_keys["_k"]) & (lk[lcol] == pref_keys["_pref"]),
-                   "left_anti")
-    fallback = (rest.join(any_val, key, "left")
-                .select(*left.columns, F.col("_val").alias(out),
-                        F.coalesce(F.col("_c2"), F.lit(1)).cast("bigint").alias("mult")))
+    counts = (r.groupBy(F.col(key).alias("_key"), F.col(rcol).alias("_pref"),
+                        F.col(value).alias("_val"))
+              .agg(F.count(F.lit(1)).alias("_c")))
+    cols = list(left.columns)
+    j = left.join(counts, left[key] == counts["_key"], "left").drop("_key")
+    w = Window.partitionBy(*cols)
+    is_pref = F.coalesce(F.col("_pref") == F.col(lcol), F.lit(False))
+    j = (j.withColumn("_m2", F.sum("_c").over(w))
+         .withColumn("_has_pref", F.max(is_pref.cast("int")).over(w)))
+    preferred = (j.filter((F.col("_has_pref") == 1) & is_pref)
+                 .select(*cols, F.col("_val").alias(out), (F.col("_c") * F.col("_m2")).alias("mult")))
+    fallback = (j.filter(F.col("_has_pref") == 0)
+                .groupBy(*cols, F.col("_val").alias(out))
+                .agg(F.coalesce(F.sum("_c"), F.lit(1)).cast("bigint").alias("mult")))
     return preferred.unionByName(fallback)
