@@ -13,6 +13,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _cmp(a: Column, b: Column, desc: bool) -> Column:
@@ -66,11 +67,24 @@ def keyed_object(df: DataFrame, keys: Sequence[str], map_key: str, order: Sequen
         picked = picked.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
     picked = picked.select(*keys, map_key, value.alias("_v"))
     coll = F.collect_list(F.struct(F.col(map_key).alias("key"), F.col("_v").alias("value")))
-    by_key = F.array_sort(coll, lambda a, b: F.when(a["key"] < b["key"], -1)
-                          .when(a["key"] > b["key"], 1).otherwise(0))
+    if _orderable(picked.schema["_v"].dataType):
+        by_key = F.array_sort(coll)  # keys are unique, so this orders by key
+    else:  # VARIANT / MAP values cannot be compared: order on the key alone
+        by_key = F.array_sort(coll, lambda a, b: F.when(a["key"] < b["key"], -1)
+                              .when(a["key"] > b["key"], 1).otherwise(0))
     return picked.groupBy(*keys).agg(F.map_from_entries(by_key).alias(alias))
 
 
+def _orderable(dt: T.DataType) -> bool:
+    if isinstance(dt, (T.VariantType, T.MapType)):
+        return False
+    if isinstance(dt, T.StructType):
+        return all(_orderable(f.dataType) for f in dt.fields)
+    if isinstance(dt, T.ArrayType):
+        return _orderable(dt.elementType)
+    return True
+
+
 def nonempty(arr: Column | str) -> Column:
     """NULL instead of an empty array/map, so the JSON key is omitted."""
     arr = F.col(arr) if isinstance(arr, str) else arr
