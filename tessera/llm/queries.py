@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, langid, pieces, shards, simhash
+from . import contamination, covertree, langid, licenses, oracle, pieces, shards, simhash, suffix_tree, toolcalls, warc
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -20,6 +20,10 @@ def remainder(n: int, id_col: str = "doc_id"):
     return F.crc32(F.encode(F.col(id_col).cast("string"), "UTF-8")) % n
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def op2_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     rows = table(spark, sf_dir, "documents").select(
@@ -51,14 +55,56 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return guess.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    root = warc.write_archives(pages)
+    found = warc.lookup(spark, root, pages.select(warc.url_key(F.col("url")).alias("key")))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op7_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.threshold_links(table(spark, sf_dir, "embeddings"))
+
+
+def op8_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(remainder(7) == 2, F.lit(False))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out.alias("held_out"))
+    return suffix_tree.score_texts(docs, docs.where(~F.col("held_out")))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, groups = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return rows.join(groups, "fp").select(
         F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user turn is a call, each assistant turn the result of the call before it.
+
+    A call is a search or a note (by the length of the text), and follows up
+    the call two turns earlier.
+    """
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    size = F.length(F.coalesce("text", F.lit("")))
+    at = lambda turn: F.concat_ws("-", F.col("conv_id").cast("string"), turn.cast("string"))
+    search = F.to_json(F.struct(F.col("text").alias("query"), (size % 50).alias("limit")))
+    note = F.to_json(F.struct((F.col("turn") % 4 == 0).alias("pinned"), F.col("text").alias("body"),
+                              F.when(F.col("turn") % 8 == 6, F.col("turn")).alias("mark")))
+    is_note = size % 5 == 0
+    calls = turns.where("role = 'user'").select(
+        F.col("conv_id").alias("thread"), F.col("turn").alias("place"), at(F.col("turn")).alias("call_id"),
+        F.when(is_note, "note").otherwise("search").alias("tool"),
+        F.when(is_note, note).otherwise(search).alias("arguments"), at(F.col("turn") - 2).alias("after"))
+    results = turns.where("role = 'assistant'").select(
+        F.col("conv_id").alias("thread"), F.col("turn").alias("place"), at(F.col("turn") - 1).alias("call_id"),
+        F.col("text").alias("content"))
+    linked = toolcalls.link_calls(calls, results)
+    return linked.select(F.col("thread").alias("conv_id"), F.col("place").alias("turn"), "kind", "call_id", "status",
+                         "level", F.array_join("errors", ",").alias("errors"), "message")
+
+
 REGISTRY = {f.__name__: f for f in (
-    op2_virtual_slots, op3_pieces, op4_contamination, op5_language, op9_simhash)}
+    op1_licenses, op2_virtual_slots, op3_pieces, op4_contamination, op5_language, op6_warc, op7_cover_tree, op8_suffix_tree, op9_simhash, op10_tool_calls)}
 
 #: DuckDB SQL of the queries that SQL can express.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = oracle.SQL
