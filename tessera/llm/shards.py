@@ -49,9 +49,9 @@ def rebalance(shard_of: list[int], weight: dict[int, int], n_shards: int) -> lis
     """An edited map whose shards are nearly equal in ``weight`` (bytes by slot).
 
     Each edit moves the heaviest shard's slot that best halves its distance
-    to the lightest one.  Ends when no move makes the distance smaller, so
-    the shards differ by less than their smallest movable slot.  Also grows
-    the map: new shards start empty.  Ties go to the lower shard and slot.
+    to the lightest one.  Ends when no slot of the heaviest shard is lighter
+    than that distance.  Also grows the map: new shards start empty.  Ties go
+    to the lower shard and slot.
     """
     out = list(shard_of)
     load = [0] * n_shards

@@ -98,6 +98,8 @@ def link_calls(calls: DataFrame, results: DataFrame,
     A null thread is a thread of its own.  Empty tables give no rows.
     """
     schemas = SCHEMAS if schemas is None else schemas
+    calls = calls.select("thread", "place", "call_id", "tool", "arguments", "after")
+    results = results.select("thread", "place", "call_id", "content")
     own = F.struct("place", "tool", "arguments", "after")
     owners = (calls.where("call_id is not null").groupBy("thread", "call_id").agg(F.min(own).alias("own")))
     answers = (results.where("call_id is not null").groupBy(F.col("thread").alias("rt"), F.col("call_id").alias("rc"))
