@@ -16,10 +16,19 @@ DATE_FORMATS = (
     "yyyy-MM-dd HH:mm:ss.SSS",
     "yyyy-MM-dd HH:mm:ss",
     "yyyy-MM-dd'T'HH:mm:ss",
+    "yyyy-MM-dd HH:mm",
     "yyyy-MM-dd",
     "yyyyMMdd",
     "MM/dd/yyyy HH:mm:ss",
+    "MM/dd/yyyy HH:mm",
     "MM/dd/yyyy",
+    "MMM d yyyy HH:mm:ss",
+    "MMM d yyyy HH:mm",
+    "MMM d yyyy",
+    "MMM d, yyyy",
+    "d MMM yyyy",
+    "MMMM d, yyyy",
+    "yyyy",
 )
 
 
@@ -33,11 +42,6 @@ def parse_date_text(text) -> Column:
     return F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in DATE_FORMATS])
 
 
-def clean_date_text(text) -> Column:
-    """Keep the text when it is a date, else NULL (the in-place 'IsDate' clean-up)."""
-    return F.when(parse_date_text(text).isNotNull(), _c(text))
-
-
 def as_of_date(as_of) -> _dt.date:
     if isinstance(as_of, _dt.datetime):
         return as_of.date()

@@ -2,9 +2,10 @@
 
 The source stores prices as text: a single amount (``19.99``) or a range
 (``19.99-29.99``).  Parsing follows the lenient money conversion of the
-source system: surrounding blanks, a currency sign and thousands commas are
-accepted, the empty string is zero, anything else that is not a plain
-decimal number is NULL (no exception, no scientific notation).
+source system: surrounding blanks, one leading sign, one leading currency mark
+and commas before the decimal point are accepted, the empty string is zero,
+anything else that is not a plain decimal number is NULL (no exception, no
+scientific notation).
 """
 
 from __future__ import annotations
@@ -14,8 +15,8 @@ from pyspark.sql import functions as F
 
 MONEY = "decimal(19,4)"
 
-# Fixed value: the shape a money amount must have once '$', ',' and blanks are gone.
-_AMOUNT = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)$"
+# Fixed value: the shape of a money amount once surrounding blanks are gone.
+_AMOUNT = r"^([+-]? *\$?|\$ *[+-]) *([0-9][0-9,]*(\.[0-9]*)?|\.[0-9]+)$"
 
 
 def _c(c) -> Column:
@@ -24,10 +25,9 @@ def _c(c) -> Column:
 
 def parse_money(text) -> Column:
     """Lenient text -> decimal(19,4); NULL when not an amount, 0 for ''."""
-    t = F.regexp_replace(F.trim(_c(text)), r"[$,]", "")
-    t = F.trim(t)
+    t = F.trim(_c(text))
     return (F.when(t == "", F.lit(0).cast(MONEY))
-            .when(t.rlike(_AMOUNT), t.try_cast(MONEY)))
+            .when(t.rlike(_AMOUNT), F.regexp_replace(t, r"[$, ]", "").try_cast(MONEY)))
 
 
 def before_first(text, sep: str = "-") -> Column:

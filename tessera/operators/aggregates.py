@@ -1,4 +1,4 @@
-"""Aggregation operators: string aggregation, EAV pivot, HAVING helper."""
+"""Aggregation operators: string aggregation and EAV pivot."""
 
 from __future__ import annotations
 
@@ -32,8 +32,3 @@ def eav_pivot(df: DataFrame, key: str, name: str, value: str, names: Sequence[st
     if renames:
         out = out.withColumnsRenamed(dict(renames))
     return out
-
-
-def having(df: DataFrame, cond: Column) -> DataFrame:
-    """Filter on aggregated columns (HAVING)."""
-    return df.filter(cond)

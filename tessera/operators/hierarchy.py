@@ -1,34 +1,40 @@
 """Hierarchy walk: every node's path up to its root, as a recursive CTE.
 
-The category tree is a dimension (thousands of rows, a handful of levels),
-but the walk is written as Spark SQL's ``WITH RECURSIVE`` so it stays a
-distributed join per level with no driver loop and no collect.  Each
-(node, ancestor) pair is produced once; the caller joins the finished paths
-to its fact rows instead of walking per fact row.
+The walk is Spark SQL's ``WITH RECURSIVE``: one distributed join per level and
+no collect.  It goes on until no parent is left, however deep the tree is;
+each row carries the nodes it has visited, and a cycle raises.  Each (node,
+ancestor) pair is produced once; the caller joins the finished paths to its
+fact rows instead of walking per fact row.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-MAX_DEPTH = 64
+# Spark bounds a recursive query by its levels and rows; a walk is bounded by its tree.
+UNLIMITED = {"spark.sql.cteRecursionLevelLimit": "-1", "spark.sql.cteRecursionRowLimit": "-1"}
 
 
 def walk_to_root(spark: SparkSession, nodes: DataFrame, id_col: str = "category_id",
-                 parent_col: str = "parent_id", name_col: str = "display_name",
-                 max_depth: int = MAX_DEPTH) -> DataFrame:
+                 parent_col: str = "parent_id", name_col: str = "display_name") -> DataFrame:
     """(node_id, ancestor_id, ancestor_name, depth) for every node and each ancestor.
 
     depth 0 is the node itself, depth 1 its parent, and so on up to the root
-    (a node with NULL or unknown parent).  ``max_depth`` stops a cycle.
+    (a node with NULL or unknown parent).  A cycle fails the query.  Sets the
+    session's recursion limits to none.
     """
+    for key, value in UNLIMITED.items():
+        spark.conf.set(key, value)
     q = f"""
-    WITH RECURSIVE walk(node_id, ancestor_id, depth) AS (
-        SELECT {id_col}, {id_col}, 0 FROM {{nodes}}
+    WITH RECURSIVE walk(node_id, ancestor_id, depth, visited) AS (
+        SELECT {id_col}, {id_col}, 0, array({id_col}) FROM {{nodes}}
         UNION ALL
-        SELECT w.node_id, n.{parent_col}, w.depth + 1
+        SELECT w.node_id,
+               IF(array_contains(w.visited, n.{parent_col}),
+                  raise_error(concat('cycle in the hierarchy at ', n.{parent_col})), n.{parent_col}),
+               w.depth + 1, array_append(w.visited, n.{parent_col})
         FROM walk w JOIN {{nodes}} n ON n.{id_col} = w.ancestor_id
-        WHERE n.{parent_col} IS NOT NULL AND w.depth < {int(max_depth)}
+        WHERE n.{parent_col} IS NOT NULL
     )
     SELECT w.node_id, w.ancestor_id, a.{name_col} AS ancestor_name, w.depth
     FROM walk w JOIN {{nodes}} a ON a.{id_col} = w.ancestor_id

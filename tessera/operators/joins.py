@@ -60,12 +60,13 @@ def fallback_lookup(left: DataFrame, right: DataFrame, key: str, prefer: tuple[s
 
     returned grouped as ``(left columns, out, mult)`` where ``mult`` is the
     number of joined rows carrying that value.  The second join adds every
-    candidate again, so the literal plan emits |r1| x |r2| pairs per key;
-    here candidates are first counted per (key, preferred column, value), the
-    counts joined to the left rows once, and windows over each left row
-    (same partitioning as the join, no extra shuffle) give the total and
-    whether a preferred candidate exists.  No pair is ever formed.  Rows with
-    no candidate at all keep ``out`` NULL and ``mult`` 1.
+    candidate again, so the literal plan emits |r1| x |r2| pairs per key.
+    Here left rows are counted, candidates are counted per (key, preferred
+    column, value), joined once, and a window over each distinct left row
+    gives the totals.  A preferred row with a value counts once for every
+    candidate; a preferred row without one falls through to all candidates,
+    as COALESCE does.  No pair is ever formed.  Rows without candidates keep
+    ``out`` NULL and count once.
     """
     lcol, rcol = prefer
     r = right if right_filter is None else right.filter(right_filter)
@@ -73,14 +74,16 @@ def fallback_lookup(left: DataFrame, right: DataFrame, key: str, prefer: tuple[s
                         F.col(value).alias("_val"))
               .agg(F.count(F.lit(1)).alias("_c")))
     cols = list(left.columns)
-    j = left.join(counts, left[key] == counts["_key"], "left").drop("_key")
+    rows = left.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    j = rows.join(counts, rows[key] == counts["_key"], "left").drop("_key")
     w = Window.partitionBy(*cols)
     is_pref = F.coalesce(F.col("_pref") == F.col(lcol), F.lit(False))
-    j = (j.withColumn("_m2", F.sum("_c").over(w))
-         .withColumn("_has_pref", F.max(is_pref.cast("int")).over(w)))
-    preferred = (j.filter((F.col("_has_pref") == 1) & is_pref)
-                 .select(*cols, F.col("_val").alias(out), (F.col("_c") * F.col("_m2")).alias("mult")))
-    fallback = (j.filter(F.col("_has_pref") == 0)
-                .groupBy(*cols, F.col("_val").alias(out))
-                .agg(F.coalesce(F.sum("_c"), F.lit(1)).cast("bigint").alias("mult")))
-    return preferred.unionByName(fallback)
+    c = F.coalesce("_c", F.lit(1))
+    j = (j.withColumn("_all", F.sum("_c").over(w))
+         .withColumn("_own", F.sum(F.when(is_pref, F.col("_c")).otherwise(0)).over(w))
+         .withColumn("_own_null", F.sum(F.when(is_pref & F.col("_val").isNull(), F.col("_c")).otherwise(0)).over(w)))
+    direct = F.when(is_pref & F.col("_val").isNotNull(), c * F.col("_all")).otherwise(0)
+    through = c * F.when(F.col("_own") > 0, F.col("_own_null")).otherwise(1)
+    return (j.groupBy(*cols, F.col("_val").alias(out))
+            .agg(F.sum(F.col("_n") * (direct + through)).cast("bigint").alias("mult"))
+            .filter(F.col("mult") > 0))

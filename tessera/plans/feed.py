@@ -5,10 +5,11 @@
         "variants":{"<variation group>":{"attributes":{...}}, ...},
         "views":{"<site>":{"attributes":{"category_paths":[[{"id","name"},...],...],"url":...}}}}}
 
-Built as three independent grouped relations keyed by set id (header,
-variants, views) and joined once.  Each correlated per-set subquery of the
-source becomes one ``groupBy(set_id).agg(...)`` over its whole child
-relation.  Decisions where the source is ambiguous (see README):
+The published set ids come first: gates, flags, pricing and the set's first
+row.  Children (variants, views) are restricted to them before they are
+deduplicated, widened and collected, then joined once.  Each correlated
+per-set subquery of the source becomes one ``groupBy(set_id).agg(...)``.
+Decisions where the source is ambiguous (see README):
 
 * variant and view keys are deduplicated (smallest full row wins) before
   the keyed object is built;
@@ -25,12 +26,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.flags import gender_label, positive_flag, true_false_text
+from ..functions.flags import all_true_text, gender_label, positive_flag, true_false_text
 from ..functions.text import fixed_text, product_path, scalar_or_array
 from ..operators.hierarchy import walk_to_root
 from ..operators.joins import exists_in, top1_per_key
 from ..operators.nested import collect_ordered, keyed_object, nonempty
-from .stages import PIVOT_NAMES, Stages, output_key
+from ..sources.catalog import PIVOT_NAMES
+from .stages import Stages, output_key
 
 # Set-level attribute keys that the feed always publishes as ''.
 EMPTY_SET_KEYS = (
@@ -49,26 +51,30 @@ def set_flags(st: Stages) -> DataFrame:
     s = st.sets
     return s.groupBy("set_id").agg(
         F.max(positive_flag("inv_availability")).alias("availability"),
-        F.when(F.min(F.when(F.col("is_international_set") == "false", 0).otherwise(1)) == 0,
-               "false").otherwise("true").alias("is_international"))
+        all_true_text(F.when(F.col("is_international_set") == "false", 0).otherwise(1))
+        .alias("is_international"))
 
 
 def set_top_row(st: Stages) -> DataFrame:
     """The first product-set row of each set (total order: leg, product, colour)."""
-    ps = st.cat.product_set
-    return top1_per_key(ps, ["set_id"], ["leg_no", "product_id", "color_id"],
-                        ["product_id", "display_name", "url", "uber_set_id",
-                         "searchable_flag", "online_flag", "available_flag"])
+    first = top1_per_key(st.cat.legs, ["set_id"], ["leg_no", "product_id", "color_id"], ["product_id"])
+    return first.join(st.cat.set_header, "set_id")
 
 
-def headers(st: Stages, brand_label: str, dedupe_products: bool = True) -> DataFrame:
-    cat = st.cat
+def published(st: Stages, dedupe_products: bool = True) -> DataFrame:
+    """The sets that get a document: flags, price and first row, one row each."""
     top = set_top_row(st).filter((F.col("searchable_flag") == 1) & (F.col("online_flag") == 1)
                                  & (F.col("available_flag") == 1))
-    top = exists_in(top, cat.product.select("product_id"), "product_id")
+    top = exists_in(top, st.cat.site_product.select("product_id"), "product_id")
     pricing = (st.set_pricing_dedup if dedupe_products else st.set_pricing) \
         .withColumnRenamed("sale_price", "set_price")
-    promo = top1_per_key(st.promo_prices, ["set_id"], ["list_price", "sale_price"],
+    return set_flags(st).join(top, "set_id").join(pricing, "set_id")
+
+
+def headers(st: Stages, sets: DataFrame, brand_label: Column) -> DataFrame:
+    """(set_id, attributes) of the published ``sets``."""
+    cat = st.cat
+    promo = top1_per_key(exists_in(st.promo_prices, sets.select("set_id"), "set_id"), ["set_id"], ["list_price", "sale_price"],
                          ["list_price", "sale_price", "sale_price_low", "sale_price_high"]) \
         .withColumnRenamed("sale_price", "sale_price_text")
     img = (cat.set_image.filter(F.col("brand_code") == st.brand_code)
@@ -78,14 +84,14 @@ def headers(st: Stages, brand_label: str, dedupe_products: bool = True) -> DataF
     rev = cat.reviews.withColumnRenamed("product_set_id", "uber_set_id")
     attr2 = cat.sps_attributes.select("set_id", F.col("item_type").alias("set_item_type"))
 
-    h = (set_flags(st).join(top, "set_id").join(pricing, "set_id")
-         .join(promo, "set_id", "left").join(img, "set_id", "left")
+    h = (sets.join(promo, "set_id", "left").join(img, "set_id", "left")
          .join(hover, "set_id", "left").join(rev, "uber_set_id", "left")
          .join(attr2, "set_id", "left"))
 
     low, high = F.col("sale_price_low"), F.col("sale_price_high")
+    # The published header keys, in source order.
     fields: list[Column] = [
-        F.lit(brand_label).alias("brand"),
+        brand_label.alias("brand"),
         F.col("display_name").alias("title"),
         F.col("availability").alias("availability"),
         F.col("is_international").alias("is_international"),
@@ -111,18 +117,20 @@ def headers(st: Stages, brand_label: str, dedupe_products: bool = True) -> DataF
 
 # -- variants --------------------------------------------------------------------------------
 
+# The published keys of a variant before the pivoted ones.
 VARIANT_BASE = ("title", "description", "brand", "is_marketplace_item", "availability",
                 "is_international", "gender", "brand_label", "review_count",
                 "review_average", "url", "price", "sale_price")
 
 
-def variant_rows(st: Stages) -> DataFrame:
-    """One row per (set, variation group) that qualifies as a variant, with its raw fields."""
+def variant_rows(st: Stages, sets: DataFrame) -> DataFrame:
+    """One row per (published set, variation group) that qualifies as a variant, with its raw fields."""
     cat = st.cat
-    p1 = st.products.select("set_id", "product_id", "variation_group", "inv_availability",
+    p1 = exists_in(st.products, sets.select("set_id"), "set_id").select("set_id", "product_id", "variation_group", "inv_availability",
                             "min_price", "max_price")
     p1 = exists_in(p1, st.products2.select("product_id"), "product_id")
-    # (the set's own product-set rows always match: these rows were built from them)
+    # (the set's own rows always match: these rows were built from them)
+    p1 = exists_in(p1, cat.product_price, "product_id")
     p1 = exists_in(p1, st.product_in_stock.select("product_id"), "product_id")
     p1 = exists_in(p1, st.known_products.select("product_id"), "product_id")
     # one row per (set, variation group) -- picked on these narrow rows, before the
@@ -166,8 +174,8 @@ def _variant_value() -> Column:
     return F.expr(f"named_struct('attributes', named_struct({', '.join(base + piv)}))")
 
 
-def variants(st: Stages) -> DataFrame:
-    rows = variant_rows(st)
+def variants(st: Stages, sets: DataFrame) -> DataFrame:
+    rows = variant_rows(st, sets)
     return keyed_object(rows, ["set_id"], "variation_group", ["product_id"], _variant_value(),
                         "variants", unique=True)
 
@@ -182,12 +190,12 @@ def category_path_lists(st: Stages) -> DataFrame:
                                     F.col("ancestor_name").alias("name")), "path")
 
 
-def view_paths(st: Stages) -> DataFrame:
-    """Per (set, site): the paths of its live categories, primary ones first."""
+def view_paths(st: Stages, sets: DataFrame | None = None) -> DataFrame:
+    """Per (set, site): the paths of its live categories, primary ones first (of ``sets``, if given)."""
     cp = st.cat.set_category
-    live = st.live_categories.select("category_id")
-    known = st.cat.category.select("category_id")
-    rows = exists_in(exists_in(cp, known, "category_id"), live, "category_id")
+    if sets is not None:
+        cp = exists_in(cp, sets.select("set_id"), "set_id")
+    rows = exists_in(cp, st.live_categories.select("category_id"), "category_id")
     rows = rows.join(category_path_lists(st).withColumnRenamed("node_id", "category_id"),
                      "category_id")
     return collect_ordered(rows, ["set_id", "site_id"],
@@ -195,14 +203,13 @@ def view_paths(st: Stages) -> DataFrame:
                            F.col("path"), "category_paths")
 
 
-def views(st: Stages) -> DataFrame:
-    sets = st.sets.select("set_id").distinct()
-    sites = exists_in(st.cat.set_category.select("set_id", "site_id").distinct(), sets, "set_id")
+def views(st: Stages, sets: DataFrame) -> DataFrame:
+    sites = exists_in(st.cat.set_category.select("set_id", "site_id"), sets.select("set_id"), "set_id").distinct()
     urls = sites.join(st.cat.set_url, ["set_id", "site_id"])
     # one url per (set, site), picked before the path arrays are attached
     urls = top1_per_key(urls.filter(F.col("site_id").isNotNull()), ["set_id", "site_id"], ["url"],
                         ["url"])
-    v = urls.join(view_paths(st), ["set_id", "site_id"], "left")
+    v = urls.join(view_paths(st, sets), ["set_id", "site_id"], "left")
     value = F.struct(F.struct(nonempty(F.col("category_paths")).alias("category_paths"),
                               F.col("url").alias("url")).alias("attributes"))
     return keyed_object(v, ["set_id"], "site_id", ["url"], value, "views", unique=True)
@@ -210,10 +217,10 @@ def views(st: Stages) -> DataFrame:
 
 # -- documents ---------------------------------------------------------------------------------
 
-def feed_documents(st: Stages, brand_label: str, dedupe_products: bool = True) -> DataFrame:
-    """(set_id, doc) with doc the JSON text of the set's ``add`` operation."""
-    h = headers(st, brand_label, dedupe_products)
-    j = (h.join(variants(st), "set_id", "left").join(views(st), "set_id", "left"))
+def feed_documents(st: Stages, sets: DataFrame, brand_label: Column) -> DataFrame:
+    """(set_id, doc) with doc the JSON text of the set's ``add`` operation; ``sets`` is ``published``."""
+    j = (headers(st, sets, brand_label).join(variants(st, sets), "set_id", "left")
+         .join(views(st, sets), "set_id", "left"))
     value = F.struct(F.col("attributes"), nonempty(F.col("variants")).alias("variants"),
                      nonempty(F.col("views")).alias("views"))
     doc = F.struct(F.lit("add").alias("op"), product_path("set_id").alias("path"),

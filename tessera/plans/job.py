@@ -1,56 +1,47 @@
 """The feed job: parameters in, JSON Lines out, failures logged and re-raised.
 
 ``run_feed(spark, sf_dir, out_dir, brand_code=..., as_of=...)`` is the
-batch entry point.  Staged relations read by several branches of the plan
-(sets, products, categories) are materialised once with a reliable
-``checkpoint()`` into the session's shared checkpoint folder, so a lost
-executor recomputes from the checkpoint, not from the raw scans.
+batch entry point.  The staged relations that several branches read (the
+product rollup and the published sets) are written once with a reliable
+``checkpoint()`` into the session's shared checkpoint folder: a lost executor
+costs a stage, not the job, and the branches' plans start from them.  Nothing
+is cached on executors.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import sys
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 from ..sources.catalog import Catalog
 from ..sources.sinks import append_error, write_jsonl
-from .feed import feed_documents
+from .feed import feed_documents, published
 from .stages import Stages
 
-
 def brand_lookup(catalog: Catalog, brand_code: str) -> DataFrame:
     """Brands carrying a brand code (the parameter lookup)."""
     return catalog.brand.filter(F.col("brand_code") == brand_code).select("brand_id", "brand_name")
 
 
-def default_brand_label(catalog: Catalog, brand_code: str) -> str:
-    """The brand name published for a code: the smallest name carrying it.
-
-    One scalar from the brand dimension (bounded by the number of brands).
-    """
-    row = brand_lookup(catalog, brand_code).agg(F.min("brand_name").alias("n")).first()
-    return (row["n"] if row else None) or brand_code
-
-
-def materialise_stages(st: Stages) -> None:
-    """Checkpoint the staged relations that several feed branches read."""
-    ensure_checkpoint_dir(st.cat.spark)
-    for name in ("sets", "products", "attributes"):
-        df = getattr(st, name)
-        st.__dict__[name] = df.checkpoint(eager=True)
+def brand_name_of(catalog: Catalog, brand_code: str) -> Column:
+    """The smallest name carrying a brand code, as a scalar subquery; the code where there is none."""
+    name = brand_lookup(catalog, brand_code).agg(F.min("brand_name").alias("n")).scalar()
+    return F.coalesce(name, F.lit(brand_code))
 
 
 def build_feed(spark: SparkSession, sf_dir: str, brand_code: str = "r1",
                as_of: str = "2024-01-15", brand_label: str | None = None,
-               dedupe_products: bool = True, materialise: bool = False,
-               keep_shared: bool = True) -> DataFrame:
-    st = Stages(Catalog(spark, sf_dir, keep_shared=keep_shared), as_of=as_of,
-                brand_code=brand_code)
-    if materialise:
-        materialise_stages(st)
-    label = brand_label or default_brand_label(st.cat, brand_code)
-    return feed_documents(st, label, dedupe_products=dedupe_products)
+               dedupe_products: bool = True) -> DataFrame:
+    """The documents, from staged relations in the checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    st = Stages(Catalog(spark, sf_dir), as_of=as_of, brand_code=brand_code)
+    st.__dict__["products"] = st.products.checkpoint()
+    sets = published(st, dedupe_products).checkpoint()
+    label = F.lit(brand_label) if brand_label else brand_name_of(st.cat, brand_code)
+    return feed_documents(st, sets, label)
 
 
 def run_feed(spark: SparkSession, sf_dir: str, out_dir: str, brand_code: str = "r1",
@@ -58,11 +49,14 @@ def run_feed(spark: SparkSession, sf_dir: str, out_dir: str, brand_code: str = "
              error_log: str | None = None, partitions: int | None = None) -> None:
     """Build and write the feed; on failure append to ``error_log`` and re-raise."""
     try:
-        docs = build_feed(spark, sf_dir, brand_code, as_of, brand_label, materialise=True)
+        docs = build_feed(spark, sf_dir, brand_code, as_of, brand_label)
         if partitions:
             docs = docs.repartition(partitions, "set_id")
         write_jsonl(docs, out_dir)
     except Exception as exc:
         if error_log:
-            append_error(spark, error_log, "run_feed", exc)
+            try:
+                append_error(spark, error_log, "run_feed", exc)
+            except Exception as second:  # the log must not hide the failure it reports
+                print(f"the error log could not be written: {second}", file=sys.stderr)
         raise

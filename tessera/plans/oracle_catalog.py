@@ -10,60 +10,98 @@ from __future__ import annotations
 
 import re
 
+# The attribute dimension's published names, in source order.
+ATTRIBUTE_NAMES = (
+    "application beauty_concern beauty_hair_type beauty_scent body_shape bottom_fit bra_lining "
+    "bra_support_level capacity care coat_weight comfort_level construction coverage fabric "
+    "fabric_/_material features fill_material fit heel_height height included item_type length "
+    "light_count light_filtration lighting_color lighting_type material multi_packs neckline "
+    "occasion pillow_type product_thickness purpose rod-type room sets shape sheet_type "
+    "shorts_inseam sleep_position sleeve_length sleeve_shape style swim_coverage theme "
+    "thread_count towel-type voltage weight width window_style wreath_size").split()
+
+_NAME_LIST = ", ".join(f"'{n}'" for n in (*ATTRIBUTE_NAMES, "unlisted"))
+
 VIEWS: dict[str, str] = {
     "product": """
-select p_partkey as product_id, cast(substr(p_brand,7) as int) as brand_id, p_brand as brand_name,
+select p_partkey as product_id, cast(substr(p_brand,7) as int) as brand_id,
   p_type as classification, case when p_size % 10 = 0 then 0 else 1 end as status,
-  case when p_size <= 40 then 1 else 0 end as is_international, p_name as title,
+  case when p_size % 17 = 3 then null when p_size <= 40 then 1 else 0 end as is_international, p_name as title,
   cast(p_retailprice as decimal(10,2)) as retail_price, p_type as description, p_brand as pcm_brand,
   p_size as customer_review_count,
   cast((p_partkey % 50) / 10 as decimal(3,1)) as customer_review_average
 from part""",
+    "site_product": "select p_partkey as product_id, upper(p_brand) as site_brand from part where p_partkey % 31 <> 7",
+    "product_price": "select p_partkey as product_id from part where p_partkey % 23 <> 0",
     "brand": """
 select distinct cast(substr(p_brand,7) as int) as brand_id, p_brand as brand_name,
   concat('r', cast(cast(substr(p_brand,7) as int) % 5 as varchar)) as brand_code
-from part""",
-    "classification": "select distinct p_type as classification from part",
-    "product_set": """
-select distinct l_orderkey as set_id, l_linenumber as leg_no, l_partkey as product_id,
-  l_suppkey as color_id, concat(cast(l_partkey as varchar), '-', cast(l_suppkey as varchar)) as variation_group,
-  o_custkey as uber_set_id, concat('Set ', cast(l_orderkey as varchar)) as display_name,
+from part where cast(substr(p_brand,7) as int) % 12 <> 5""",
+    "classification": "select distinct p_type as classification from part where length(p_type) % 9 <> 0",
+    "legs": """
+select distinct l_orderkey as set_id, l_linenumber as leg_no, l_partkey as product_id, l_suppkey as color_id
+from lineitem""",
+    "set_header": """
+select o_orderkey as set_id, o_custkey as uber_set_id, concat('Set ', cast(o_orderkey as varchar)) as display_name,
   case when o_orderstatus = 'P' then 0 else 1 end as searchable_flag,
   case when o_orderpriority = '5-LOW' then 0 else 1 end as online_flag,
   case when o_totalprice < 1000 then 0 else 1 end as available_flag,
-  price_text as list_price, price_text as sale_price,
-  concat('/sets/', cast(l_orderkey as varchar)) as url
-from lineitem
-join orders on o_orderkey = l_orderkey
-join (select l_orderkey as k,
-        case when count(*) = 1 then cast(cast(min(l_extendedprice) as decimal(10,2)) as varchar)
-        else concat(cast(cast(min(l_extendedprice) as decimal(10,2)) as varchar), '-',
-                    cast(cast(max(l_extendedprice) as decimal(10,2)) as varchar)) end as price_text
-      from lineitem group by l_orderkey) t on t.k = l_orderkey""",
+  concat('/sets/', cast(o_orderkey as varchar)) as url
+from orders""",
+    "set_price_text": """
+select set_id,
+  case when n = 1 then cast(a as varchar) else concat(cast(a as varchar), '-', cast(b as varchar)) end as list_price,
+  case when n = 1 then cast(c as varchar) else concat(cast(c as varchar), '-', cast(d as varchar)) end as sale_price
+from (select l_orderkey as set_id, l_linenumber % 2 as odd, count(*) as n,
+        min(cast(l_extendedprice as decimal(10,2))) as a, max(cast(l_extendedprice as decimal(10,2))) as b,
+        cast(min(cast(l_extendedprice as decimal(10,2)) * (1 - cast(l_discount as decimal(4,2)))) as decimal(10,2)) as c,
+        cast(max(cast(l_extendedprice as decimal(10,2)) * (1 - cast(l_discount as decimal(4,2)))) as decimal(10,2)) as d
+      from lineitem group by l_orderkey, l_linenumber % 2)""",
     "style": """
-select distinct l_partkey * 100000 + l_suppkey as style_id, l_partkey as product_id, l_suppkey as color_id,
+select distinct l_partkey as product_id, l_suppkey as color_id,
   case when l_suppkey % 7 = 0 then 0 else 1 end as status,
   concat('MF', cast(l_suppkey % 11 as varchar)) as mf_item_id
 from lineitem""",
     "size": """
-select (l_partkey * 100000 + l_suppkey) * 10 + l_linenumber as size_id, l_partkey * 100000 + l_suppkey as style_id,
+select l_partkey as product_id, l_suppkey as color_id, l_linenumber as size_no,
   case when l_linenumber = 7 then 0 else 1 end as status, cast(max(l_extendedprice) as decimal(10,2)) as was_price
 from lineitem group by l_partkey, l_suppkey, l_linenumber""",
     "inventory": """
-select (l_partkey * 100000 + l_suppkey) * 10 + l_linenumber as size_id,
-  cast(sum(case when l_returnflag = 'A' then cast(l_quantity as int) else 0 end) as bigint) as quantity,
-  cast(sum(case when l_returnflag = 'N' then cast(l_quantity as int) else 0 end) as bigint) as backorder_quantity
+select l_partkey as product_id, l_suppkey as color_id, l_linenumber as size_no,
+  cast(sum(case when l_returnflag = 'A' then cast(l_quantity as int) end) as bigint) as quantity,
+  cast(sum(case when l_returnflag = 'N' then cast(l_quantity as int) end) as bigint) as backorder_quantity
 from lineitem group by l_partkey, l_suppkey, l_linenumber""",
     "price": """
-select distinct (l_partkey * 100000 + l_suppkey) * 10 + l_linenumber as size_id,
+select distinct l_partkey as product_id, l_suppkey as color_id, l_linenumber as size_no,
   cast(l_extendedprice as decimal(10,2)) as selling_price,
   case when l_discount > 0.085 then 0 else 1 end as status
 from lineitem""",
+    "size_stock": """
+select z.product_id, z.color_id, z.size_no, z.status, z.was_price, i.quantity,
+  i.quantity + i.backorder_quantity as units
+from size z, inventory i
+where (z.product_id, z.color_id, z.size_no) = (i.product_id, i.color_id, i.size_no)""",
+    "attribute": f"""
+select unnest(range(len(names)))::int as attribute_id, unnest(names) as name
+from (select [{_NAME_LIST}] as names)""",
+    "attribute_value": """
+select distinct p_size::bigint as value_id,
+  case p_size % 3 when 1 then 'Value ' || p_size when 2 then 'Size "' || p_size || '"' end as display_value,
+  'v' || p_size as attribute_value
+from part where p_size % 13 <> 0""",
+    "product_attribute_value": f"""
+select p_partkey as product_id, (p_partkey * 5 + k * k * 3 + k) % {len(ATTRIBUTE_NAMES) + 2} as attribute_id, v as value_id,
+  case when (p_partkey + k) % 9 = 0 then 0 else 1 end as status
+from (select p_partkey, k, unnest(case when k % 2 = 0 then [1 + (p_partkey + k * 11) % 50, 1 + (p_partkey * 3 + k) % 50]
+                                       else [1 + (p_partkey + k * 11) % 50] end) as v
+      from (select p_partkey, unnest(range(8)) as k from part))""",
     "category": """
 select concat('n', cast(n_nationkey as varchar)) as category_id, concat('r', cast(n_regionkey as varchar)) as parent_id,
   n_name as display_name, case when n_nationkey % 6 = 5 then 'false' else 'true' end as online_flag,
-  case n_nationkey % 5 when 0 then null when 1 then '1995-01-01' when 2 then '2030-01-01' when 3 then 'junk' else '2000-06-01' end as online_from,
-  case n_nationkey % 4 when 0 then null when 1 then '2030-01-01' when 2 then 'n/a' else '2024-01-15' end as online_to,
+  case n_nationkey % 5 when 0 then null when 1 then '1995-01-01' when 2 then '2030-01-01' when 3 then 'junk'
+    else case when n_nationkey % 2 = 0 then '2000' else 'Jun 1 2000' end end as online_from,
+  case n_nationkey % 4 when 0 then null when 1 then '2030-01-01' when 2 then 'n/a'
+    else case when n_nationkey % 8 = 3 then '2024-01-15 10:30' else 'Jan 20 2024' end end as online_to,
   case when n_nationkey % 11 = 10 then 1 when n_nationkey % 2 = 0 then 0 else null end as is_hidden
 from nation
 union all select concat('r', cast(r_regionkey as varchar)), 'root', r_name, 'true', null, null, null from region
@@ -80,13 +118,6 @@ select l_orderkey as set_id, concat('r', cast(n_regionkey as varchar)) as site_i
   max(case when l_linenumber = 1 then 'true' else '' end) as primary_category
 from lineitem join supplier on s_suppkey = l_suppkey join nation on n_nationkey = s_nationkey
 group by l_orderkey, n_regionkey, n_nationkey""",
-    "attribute_value": """
-select distinct l_partkey as product_id, 'flag' as name, cast(null as varchar) as display_value,
-  l_returnflag as attribute_value, 1 as status from lineitem
-union all select distinct l_partkey, 'rod-type', case when l_linestatus = 'O' then 'Open' else null end,
-  l_linestatus, case when l_linenumber = 7 then 0 else 1 end from lineitem
-union all select p_partkey, 'fabric_/_material', null, p_type, 1 from part
-union all select p_partkey, 'unlisted', null, 'z', 1 from part""",
     "reviews": """
 select user_id as product_set_id, count(*) as review_count, cast(max(value) as decimal(10,2)) as average_rating
 from events where event_type = 'view' group by user_id""",

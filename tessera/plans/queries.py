@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.catalog import SIZE_KEY
 from .context import stages_for
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -60,7 +61,7 @@ def _st(spark, sf_dir):
 def scan_project(spark, sf_dir):
     """Scan with explicit column list (pruned at the Parquet reader)."""
     return _st(spark, sf_dir).cat.product.select(
-        "product_id", "brand_id", "brand_name", "classification", "status", "is_international",
+        "product_id", "brand_id", "classification", "status", "is_international",
         "title", "retail_price")
 
 
@@ -68,18 +69,18 @@ def scan_project(spark, sf_dir):
 def status_filter(spark, sf_dir):
     """Active sizes with active prices (equality filters pushed to the scan side)."""
     cat = _st(spark, sf_dir).cat
-    sz = cat.size.filter(F.col("status") == 1).select("size_id", "style_id", "was_price")
-    pc = cat.price.filter(F.col("status") == 1).select("size_id", "selling_price")
-    return sz.join(pc, "size_id")
+    sz = cat.size.filter(F.col("status") == 1).drop("status")
+    pc = cat.price.filter(F.col("status") == 1).drop("status")
+    return sz.join(pc, SIZE_KEY)
 
 
 @query("sellable_filter")
 def sellable_filter(spark, sf_dir):
     """Product-set rows that are searchable, online and available."""
-    ps = _st(spark, sf_dir).cat.product_set
-    return (ps.filter((F.col("searchable_flag") == 1) & (F.col("online_flag") == 1)
-                      & (F.col("available_flag") == 1))
-            .select("set_id", "leg_no", "product_id", "color_id"))
+    cat = _st(spark, sf_dir).cat
+    sellable = cat.set_header.filter((F.col("searchable_flag") == 1) & (F.col("online_flag") == 1)
+                                     & (F.col("available_flag") == 1))
+    return cat.legs.join(sellable.select("set_id"), "set_id").select("set_id", "leg_no", "product_id", "color_id")
 
 
 @query("nonblank_filter")
@@ -104,7 +105,7 @@ def visible_filter(spark, sf_dir):
 def constant_columns(spark, sf_dir):
     """Constant feed columns per set (op, flags and the always-empty keys)."""
     from .feed import EMPTY_SET_KEYS
-    sets = _st(spark, sf_dir).cat.product_set.select("set_id").distinct()
+    sets = _st(spark, sf_dir).cat.legs.select("set_id").distinct()
     return sets.select("set_id", F.lit("add").alias("op"), F.lit("Y").alias("is_special_productset"),
                        F.lit("N").alias("is_marketplace_item"),
                        *[F.lit("").alias(k) for k in EMPTY_SET_KEYS])
@@ -121,7 +122,7 @@ def iif_labels(spark, sf_dir):
 @query("product_path")
 def product_path_q(spark, sf_dir):
     from ..functions.text import product_path
-    sets = _st(spark, sf_dir).cat.product_set.select("set_id").distinct()
+    sets = _st(spark, sf_dir).cat.legs.select("set_id").distinct()
     return sets.select("set_id", product_path("set_id").alias("path"))
 
 
@@ -156,7 +157,7 @@ def stringify_numbers(spark, sf_dir):
 def availability_flag(spark, sf_dir):
     from ..functions.flags import positive_flag
     inv = _st(spark, sf_dir).cat.inventory
-    return inv.select("size_id", positive_flag(F.col("quantity") + F.col("backorder_quantity"))
+    return inv.select(*SIZE_KEY, positive_flag(F.col("quantity") + F.col("backorder_quantity"))
                       .alias("available"))
 
 
@@ -199,26 +200,26 @@ def price_range(spark, sf_dir):
 
 @query("inner_join_star")
 def inner_join_star(spark, sf_dir):
-    """Set -> product -> brand -> style -> size -> price, rolled up per set and product."""
+    """Set -> product -> brand -> style -> size -> price, rolled up per set and product.
+
+    The prices are summed up per (product, colour) before they meet the set rows.
+    """
     st = _st(spark, sf_dir)
     cat = st.cat
-    ps = cat.product_set.select("set_id", "product_id", "color_id")
+    rows = cat.legs.groupBy("set_id", "product_id", "color_id").agg(F.count(F.lit(1)).alias("n"))
     pr = st.known_products.select("product_id", "brand_name")
-    sty = cat.style.select("style_id", "product_id", "color_id")
-    j = (ps.join(pr, "product_id").join(sty, ["product_id", "color_id"])
-         .join(cat.size.select("size_id", "style_id"), "style_id")
-         .join(cat.price.select("size_id", "selling_price"), "size_id"))
+    priced = st.sku_rollup.select("product_id", "color_id", "n_all", "min_all", "max_all")
+    j = rows.join(priced, ["product_id", "color_id"]).join(pr, "product_id")
     return j.groupBy("set_id", "product_id", "brand_name").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.min("selling_price").alias("min_price"),
-        F.max("selling_price").alias("max_price"))
+        F.sum(F.col("n") * F.col("n_all")).alias("n_rows"), F.min("min_all").alias("min_price"),
+        F.max("max_all").alias("max_price"))
 
 
 @query("composite_key_join")
 def composite_key_join(spark, sf_dir):
     cat = _st(spark, sf_dir).cat
-    ps = cat.product_set.select("set_id", "leg_no", "product_id", "color_id")
-    sty = cat.style.select("product_id", "color_id", "style_id", "status")
-    return ps.join(sty, ["product_id", "color_id"]).select("set_id", "leg_no", "style_id", "status")
+    sty = cat.style.select("product_id", "color_id", "status")
+    return cat.legs.join(sty, ["product_id", "color_id"])
 
 
 @query("left_join_on_residual")
@@ -255,7 +256,7 @@ def existence_semi_join(spark, sf_dir):
     """Product-set rows whose product is an active product with styles."""
     from ..operators.joins import exists_in
     st = _st(spark, sf_dir)
-    return exists_in(st.cat.product_set.select("set_id", "leg_no", "product_id"),
+    return exists_in(st.cat.legs.select("set_id", "leg_no", "product_id"),
                      st.products2.select("product_id"), "product_id")
 
 
@@ -307,9 +308,7 @@ def reviews_left_join(spark, sf_dir):
 def having_in_stock(spark, sf_dir):
     """Per product: units over active sizes, kept only when positive (HAVING)."""
     cat = _st(spark, sf_dir).cat
-    j = (cat.style.select("style_id", "product_id")
-         .join(cat.size.filter(F.col("status") == 1).select("size_id", "style_id"), "style_id")
-         .join(cat.inventory, "size_id"))
+    j = cat.size.filter(F.col("status") == 1).select(*SIZE_KEY).join(cat.inventory, SIZE_KEY)
     g = j.groupBy("product_id").agg(
         F.sum(F.col("quantity") + F.col("backorder_quantity")).alias("stock"))
     return g.filter(F.col("stock") > 0)

@@ -17,7 +17,7 @@ Plan shape, chosen for a 1000-executor run:
   site) is counted per key instead of joining candidates to candidates
   (see ``fallback_lookup``).
 * **Partial aggregation everywhere.**  All rollups are SUM/MIN/MAX/COUNT or
-  ``min(struct)`` top-1s, combined map-side; a product or colour holding a
+  ``row_number`` top-1s with a partial limit, all reduced map-side; a product or colour holding a
   third of all rows is pre-reduced in every map task before the shuffle.
 """
 
@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import parse_date_text, valid_on
@@ -33,24 +33,11 @@ from ..functions.money import range_high, range_low
 from ..functions.text import nonblank
 from ..operators.aggregates import eav_pivot, string_agg
 from ..operators.joins import exists_in, fallback_lookup
-from ..sources.catalog import Catalog, shared
+from ..sources.catalog import PIVOT_NAMES, Catalog
 
 DEC2 = "decimal(10,2)"
 SUM_DEC = "decimal(38,2)"
 
-# The attribute names pivoted into columns, in source order.
-PIVOT_NAMES = (
-    "application", "beauty_concern", "beauty_hair_type", "beauty_scent", "body_shape",
-    "bottom_fit", "bra_lining", "bra_support_level", "capacity", "care", "coat_weight",
-    "comfort_level", "construction", "coverage", "fabric", "fabric_/_material", "features",
-    "fill_material", "fit", "heel_height", "height", "included", "item_type", "length",
-    "light_count", "light_filtration", "lighting_color", "lighting_type", "material",
-    "multi_packs", "neckline", "occasion", "pillow_type", "product_thickness", "purpose",
-    "rod-type", "room", "sets", "shape", "sheet_type", "shorts_inseam", "sleep_position",
-    "sleeve_length", "sleeve_shape", "style", "swim_coverage", "theme", "thread_count",
-    "towel-type", "voltage", "weight", "width", "window_style", "wreath_size",
-)
-
 # Published key for each pivoted name whose key differs from the name.
 OUTPUT_KEY_RENAMES = {
     "capacity": "capacity_",
@@ -72,11 +59,6 @@ class Stages:
         self.cat = catalog
         self.as_of = as_of
         self.brand_code = brand_code
-        self._kept = catalog._kept
-
-    @property
-    def keep_shared(self) -> bool:
-        return self.cat.keep_shared
 
     # -- categories ------------------------------------------------------------
     @cached_property
@@ -106,66 +88,58 @@ class Stages:
         """Products whose brand and classification exist (inner-join existence)."""
         p = self.cat.product
         p = exists_in(p, self.cat.classification, "classification")
-        return p.join(self.cat.brand.select("brand_id", "brand_code"), "brand_id")
+        return p.join(self.cat.brand, "brand_id")
 
     @cached_property
     def active_products(self) -> DataFrame:
         return self.known_products.filter(F.col("status") == 1)
 
-    # -- leg gates ------------------------------------------------------------------
-    @shared
-    def size_fact(self) -> DataFrame:
-        """Size grain: style x size x inventory, with the style's product, colour and status."""
-        st = self.cat.style.select("style_id", "product_id", "color_id",
-                                   F.col("status").alias("style_status"))
-        sz = self.cat.size.select("size_id", "style_id", F.col("status").alias("size_status"),
-                                  "was_price")
-        return st.join(sz, "style_id").join(self.cat.inventory, "size_id")
-
+    # -- stock and prices ---------------------------------------------------------------
     @cached_property
     def color_stock(self) -> DataFrame:
         """Per colour: units (on hand + back order) over active sizes of every style in it."""
-        return (self.size_fact.filter(F.col("size_status") == 1)
+        return (self.cat.sku.filter(F.col("size_status") == 1)
                 .groupBy("color_id")
                 .agg(F.sum(F.col("quantity") + F.col("backorder_quantity")).alias("stock")))
 
-    @shared
+    @cached_property
     def sku_rollup(self) -> DataFrame:
-        """Per (product, colour): every size-price rollup the feed needs, in one pass.
+        """Per (product, colour): every size-price rollup the feed needs, from one pass over the sizes.
 
-        One join chain (size fact x price) and one aggregation replace a chain
-        per rollup; each rollup keeps its own row filter as a conditional
-        aggregate, and a count of qualifying rows tells whether the inner join
-        of that rollup would have produced the group at all.
+        A size counts once for each of its price rows, as in the join; each
+        rollup keeps its own row filter as a conditional aggregate, and a
+        count of qualifying rows tells whether its inner join would have
+        produced the group at all.
         """
-        pc = self.cat.price.select("size_id", "selling_price", F.col("status").alias("price_status"))
-        f = self.size_fact.join(pc, "size_id")
         units = F.col("quantity") + F.col("backorder_quantity")
-        active = (F.col("size_status") == 1) & (F.col("price_status") == 1)
+        active = (F.col("size_status") == 1) & (F.col("n_active") > 0)
         stocked = active & (F.col("style_status") == 1) & (units > 0)
-        price, was = F.col("selling_price"), F.col("was_price")
-        return f.groupBy("product_id", "color_id").agg(
-            F.sum(units).alias("stock_all"), F.min(price).alias("min_all"),
-            F.sum(price).alias("sum_all"),
-            F.count(F.when(active, 1)).alias("n_active"),
-            F.sum(F.when(active, units)).alias("stock_active"),
-            F.min(F.when(active, price)).alias("min_active"),
-            F.max(F.when(active, price)).alias("max_active"),
-            F.count(F.when(stocked, 1)).alias("n_stocked"),
-            F.max(F.when(stocked, was)).alias("was_high"), F.min(F.when(stocked, was)).alias("was_low"),
-            F.max(F.when(stocked, price)).alias("sale_high"),
-            F.min(F.when(stocked, price)).alias("sale_low"),
-            F.sum(F.when(stocked, F.col("quantity"))).alias("qty_stocked"))
+        return self.cat.sku.groupBy("product_id", "color_id").agg(
+            F.sum(units * F.col("n_prices")).alias("stock_all"), F.min("min_price").alias("min_all"),
+            F.max("max_price").alias("max_all"), F.sum("sum_price").alias("sum_all"),
+            F.sum("n_prices").alias("n_all"),
+            F.coalesce(F.sum(F.when(active, F.col("n_active"))), F.lit(0)).alias("n_active"),
+            F.sum(F.when(active, units * F.col("n_active"))).alias("stock_active"),
+            F.min(F.when(active, F.col("min_active"))).alias("min_active"),
+            F.max(F.when(active, F.col("max_active"))).alias("max_active"),
+            F.coalesce(F.sum(F.when(stocked, F.col("n_active"))), F.lit(0)).alias("n_stocked"),
+            F.max(F.when(stocked, F.col("was_price"))).alias("was_high"),
+            F.min(F.when(stocked, F.col("was_price"))).alias("was_low"),
+            F.max(F.when(stocked, F.col("max_active"))).alias("sale_high"),
+            F.min(F.when(stocked, F.col("min_active"))).alias("sale_low"),
+            F.sum(F.when(stocked, F.col("quantity") * F.col("n_active"))).alias("qty_stocked"))
 
+    # -- leg gates ------------------------------------------------------------------
     @cached_property
     def leg_stock(self) -> DataFrame:
         """Per set: stock behind leg 1 and leg 2 (NULL when the leg has none)."""
-        ps = (self.cat.product_set.filter(F.col("leg_no").isin(1, 2))
-              .select("set_id", "leg_no", "color_id"))
-        j = ps.join(self.color_stock, "color_id")
-        return j.groupBy("set_id").agg(
-            F.sum(F.when(F.col("leg_no") == 1, F.col("stock"))).alias("vg1_inventory"),
-            F.sum(F.when(F.col("leg_no") == 2, F.col("stock"))).alias("vg2_inventory"))
+        j = self.cat.legs.filter(F.col("leg_no").isin(1, 2)).join(self.color_stock, "color_id")
+        return j.groupBy("set_id").agg(*self._leg_sums("vg1_inventory", "vg2_inventory"))
+
+    @staticmethod
+    def _leg_sums(one: str, two: str) -> list:
+        return [F.sum(F.when(F.col("leg_no") == leg, F.col("stock"))).alias(name)
+                for leg, name in ((1, one), (2, two))]
 
     @cached_property
     def gated_sets(self) -> DataFrame:
@@ -179,15 +153,25 @@ class Stages:
             F.sum("stock_all").alias("stock"), F.min("min_all").alias("min_price"),
             F.sum("sum_all").alias("sum_price"))
 
-    @shared
+    @cached_property
+    def gated_rows(self) -> DataFrame:
+        """(set, product, n): rows of each product in the sets whose legs 1 and 2 both have stock.
+
+        The legs are read once: their rows are counted and their stock summed
+        per (set, product); a window over a set's few rows adds up its legs.
+        """
+        rows = (self.cat.legs.join(self.color_stock, "color_id", "left").groupBy("set_id", "product_id")
+                .agg(F.count(F.lit(1)).alias("n"), *self._leg_sums("v1", "v2")))
+        w = Window.partitionBy("set_id")
+        return (rows.withColumns({"g1": F.sum("v1").over(w), "g2": F.sum("v2").over(w)})
+                .filter((F.col("g1") > 0) & (F.col("g2") > 0)).select("set_id", "product_id", "n"))
+
+    @cached_property
     def sets(self) -> DataFrame:
         """Sets passing both leg gates, per child product: stock, min/total price, international."""
-        n_rows = (self.cat.product_set.groupBy("set_id", "product_id")
-                  .agg(F.count(F.lit(1)).alias("n")))
-        prod = self.active_products.select("product_id", "brand_name", "is_international")
-        j = (n_rows.join(self.gated_sets.select("set_id"), "set_id")
-             .join(prod, "product_id")
-             .join(self.product_stock, "product_id"))
+        prod = exists_in(self.active_products.select("product_id", "brand_name", "is_international"),
+                         self.cat.site_product.select("product_id"), "product_id")
+        j = self.gated_rows.join(prod, "product_id").join(self.product_stock, "product_id")
         n = F.col("n")
         return j.select(
             (n * F.col("stock")).alias("inv_availability"),
@@ -210,18 +194,19 @@ class Stages:
     @cached_property
     def product_category(self) -> DataFrame:
         """Per active product: primary category (own site first, else any site) and multiplicity."""
-        left = self.active_products.select("product_id", "brand_code", "brand_name")
+        left = self.active_products.select("product_id", "brand_code").join(
+            self.cat.site_product.withColumnRenamed("site_brand", "brand_name"), "product_id")
         return fallback_lookup(left, self.cat.category_product, key="product_id",
                                prefer=("brand_code", "site_id"), value="category_id",
                                out="primary_category",
                                right_filter=nonblank("primary_category"))
 
-    @shared
+    @cached_property
     def products(self) -> DataFrame:
         """Set x product x primary category x variation group: stock, min and max price."""
-        n_rows = (self.cat.product_set
-                  .groupBy("set_id", "product_id", "color_id", "variation_group")
-                  .agg(F.count(F.lit(1)).alias("n")))
+        n_rows = (self.cat.legs.groupBy("set_id", "product_id", "color_id")
+                  .agg(F.count(F.lit(1)).alias("n"))
+                  .withColumn("variation_group", F.concat_ws("-", "product_id", "color_id")))
         j = (n_rows.join(self.sku_by_product_color, ["product_id", "color_id"])
              .join(self.product_category, "product_id"))
         units = F.col("n") * F.col("mult") * F.col("stock")
@@ -248,7 +233,7 @@ class Stages:
     # -- promo price ranges --------------------------------------------------------------
     @cached_property
     def promo_prices(self) -> DataFrame:
-        ps = self.cat.product_set.select("set_id", "list_price", "sale_price").distinct()
+        ps = self.cat.set_price_text.distinct()
         return ps.select(
             "set_id", "list_price", "sale_price",
             range_low("list_price").alias("list_price_low"),
@@ -260,7 +245,8 @@ class Stages:
     @cached_property
     def attribute_text(self) -> DataFrame:
         """Per (product, attribute name): active values joined by '|' (display value first)."""
-        av = self.cat.attribute_value.filter(F.col("status") == 1)
+        av = (self.cat.product_attribute_value.filter(F.col("status") == 1)
+              .join(self.cat.attribute, "attribute_id").join(self.cat.attribute_value, "value_id"))
         return string_agg(av, ["product_id", "name"],
                           F.coalesce(F.col("display_value"), F.col("attribute_value")),
                           alias="attribute_value")

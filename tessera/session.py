@@ -27,12 +27,6 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        # collect_list/collect_set aggregate in an object hash map that switches to
-        # sort-based aggregation after this many keys per task (default 128); nested
-        # collections group tens of thousands of sets per task, and sorting their wide
-        # rows cost more than the whole rest of the stage.  Memory stays bounded by the
-        # task's input; lower it on executors with little memory per core.
-        .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "65536")
         .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "16g"))
     )
     if shuffle_partitions is not None:
@@ -47,12 +41,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, creating a scratch one only if unset.
 
     A cluster launcher sets ``spark.checkpoint.dir`` to shared storage; that
-    value always wins.  Only a session without one (local tests) gets a fresh
-    folder.
+    value always wins.  Only a local session without one (tests) gets a fresh
+    folder: on a cluster a machine's own folder would lose the files to other
+    executors, so a missing setting is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current

@@ -6,67 +6,55 @@ mapping is the one in FIXTURES.md section 3; columns marked *extra* below
 are our additions for fields the feed reads but FIXTURES does not define.
 
 Everything is lazy: a property returns a DataFrame plan and is cached on the
-instance, so two consumers of ``size`` inside one query share one plan node
-and Spark reuses the shuffle (``ReusedExchange``) instead of recomputing it.
+instance.  Nothing is persisted.
 
 Scale notes (1000 executors, lineitem ~ 600 billion rows):
-* ``size`` and ``inventory`` are two projections of one aggregate over
-  (part, supplier, linenumber); partial aggregation runs map-side.
-* ``nation``/``region`` are fixed 25/5-row dimensions, so broadcasting them is
-  size-safe by construction.  Every other join is left to AQE, which turns a
-  join into a broadcast only when the runtime shuffle size is under
-  ``spark.sql.autoBroadcastJoinThreshold``.
+* keys are natural: a style is (product, colour), a size (product, colour,
+  size number).  No key is computed from others, so none can collide.
+* ``legs`` has the keys of the product-set rows only; set columns and price
+  texts are relations of their own, joined where they are read.
+* ``sku`` is the size grain with its stock, style status and price summary in
+  one pass over lineitem; partial aggregation runs map-side.
+* Joins are left to AQE, which turns one into a broadcast only when the
+  runtime size is under ``spark.sql.autoBroadcastJoinThreshold``.
 """
 
 from __future__ import annotations
 
-import functools
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .tables import read_table
 
 DEC2 = "decimal(10,2)"
+SIZE_KEY = ["product_id", "color_id", "size_no"]
+
+# The attribute names that the feed pivots into columns, in source order.
+PIVOT_NAMES = (
+    "application", "beauty_concern", "beauty_hair_type", "beauty_scent", "body_shape",
+    "bottom_fit", "bra_lining", "bra_support_level", "capacity", "care", "coat_weight",
+    "comfort_level", "construction", "coverage", "fabric", "fabric_/_material", "features",
+    "fill_material", "fit", "heel_height", "height", "included", "item_type", "length",
+    "light_count", "light_filtration", "lighting_color", "lighting_type", "material",
+    "multi_packs", "neckline", "occasion", "pillow_type", "product_thickness", "purpose",
+    "rod-type", "room", "sets", "shape", "sheet_type", "shorts_inseam", "sleep_position",
+    "sleeve_length", "sleeve_shape", "style", "swim_coverage", "theme", "thread_count",
+    "towel-type", "voltage", "weight", "width", "window_style", "wreath_size",
+)
 
 
 def _s(c) -> F.Column:
     return F.col(c).cast("string") if isinstance(c, str) else c.cast("string")
 
 
-def shared(fn):
-    """A lazily built relation that several branches of one plan read.
-
-    Cached on the instance; when the owner has ``keep_shared`` on it is also
-    persisted (memory, spilling to disk) so the branches derive it once.  A
-    persisted block lost with an executor is recomputed from its lineage.
-    """
-    @functools.wraps(fn)
-    def build(self):
-        df = fn(self)
-        if self.keep_shared:
-            df = df.persist(StorageLevel.MEMORY_AND_DISK)
-            self._kept.append(df)
-        return df
-    return cached_property(build)
-
-
 class Catalog:
     """Lazy source relations over one scale-factor directory."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, keep_shared: bool = False):
+    def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
-        self.keep_shared = keep_shared
-        self._kept: list[DataFrame] = []
-
-    def release(self) -> None:
-        """Unpersist every relation this catalog kept."""
-        for df in self._kept:
-            df.unpersist()
-        self._kept.clear()
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
@@ -90,45 +78,55 @@ class Catalog:
 
     @cached_property
     def supplier_geo(self) -> DataFrame:
-        """supplier -> (nation, region); nation is a fixed 25-row dimension."""
-        nation = F.broadcast(self.table("nation").select("n_nationkey", "n_regionkey"))
+        """supplier -> (nation, region)."""
+        nation = self.table("nation").select("n_nationkey", "n_regionkey")
         return (self.table("supplier").select("s_suppkey", "s_nationkey")
                 .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
                 .select("s_suppkey", "n_nationkey", "n_regionkey"))
 
-    @shared
+    @cached_property
     def line_geo(self) -> DataFrame:
         """lineitem rows with the supplier's nation and region attached."""
         li = self.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
         return li.join(self.supplier_geo, F.col("l_suppkey") == F.col("s_suppkey"))
 
     # -- products, brands --------------------------------------------------
-    @shared
+    @cached_property
     def product(self) -> DataFrame:
-        """dbo.Product + sfra.Product.  extra: description, pcm_brand,
-        customer_review_count, customer_review_average."""
+        """The master product.  extra: description, pcm_brand, customer review columns."""
         p = self.part
+        size = F.col("p_size")
         return p.select(
             F.col("p_partkey").alias("product_id"),
             F.substring("p_brand", 7, 100).cast("int").alias("brand_id"),
-            F.col("p_brand").alias("brand_name"),
             F.col("p_type").alias("classification"),
-            F.when(F.col("p_size") % 10 == 0, 0).otherwise(1).alias("status"),
-            F.when(F.col("p_size") <= 40, 1).otherwise(0).alias("is_international"),
+            F.when(size % 10 == 0, 0).otherwise(1).alias("status"),
+            F.when(size % 17 == 3, F.lit(None)).when(size <= 40, 1).otherwise(0).alias("is_international"),
             F.col("p_name").alias("title"),
             F.col("p_retailprice").cast(DEC2).alias("retail_price"),
             F.col("p_type").alias("description"),
             F.col("p_brand").alias("pcm_brand"),
-            F.col("p_size").alias("customer_review_count"),
+            size.alias("customer_review_count"),
             ((F.col("p_partkey") % 50) / F.lit(10)).cast("decimal(3,1)")
             .alias("customer_review_average"),
         )
 
-    @shared
+    @cached_property
+    def site_product(self) -> DataFrame:
+        """The storefront's product: not every master product is on the site."""
+        return (self.part.filter(F.col("p_partkey") % 31 != 7)
+                .select(F.col("p_partkey").alias("product_id"), F.upper("p_brand").alias("site_brand")))
+
+    @cached_property
+    def product_price(self) -> DataFrame:
+        """Products with a published price: the variants' existence join reads no more of it."""
+        return self.part.filter(F.col("p_partkey") % 23 != 0).select(F.col("p_partkey").alias("product_id"))
+
+    @cached_property
     def brand(self) -> DataFrame:
-        """dbo.Brand; at most one row per TPC-H brand (25), so broadcast-safe."""
+        """The brand dimension; some brands of products are missing."""
         bid = F.substring("p_brand", 7, 100).cast("int")
-        return (self.part.select(
+        return (self.part.filter(bid % 12 != 5).select(
             bid.alias("brand_id"),
             F.col("p_brand").alias("brand_name"),
             F.concat(F.lit("r"), _s(bid % 5)).alias("brand_code"),
@@ -136,97 +134,111 @@ class Catalog:
 
     @cached_property
     def classification(self) -> DataFrame:
-        """dbo.Classification (extra): one row per part type (150 in TPC-H)."""
-        return self.part.select(F.col("p_type").alias("classification")).distinct()
+        """The classification dimension (extra): part types, some of them missing."""
+        return (self.part.filter(F.length("p_type") % 9 != 0)
+                .select(F.col("p_type").alias("classification")).distinct())
 
     # -- product sets ------------------------------------------------------
     @cached_property
-    def set_price_text(self) -> DataFrame:
-        """Per set: 'min-max' price text (or a single price)."""
-        li = self.lineitem
-        lo = F.min("l_extendedprice").cast(DEC2).cast("string")
-        hi = F.max("l_extendedprice").cast(DEC2).cast("string")
-        return (li.groupBy("l_orderkey")
-                .agg(F.when(F.count(F.lit(1)) == 1, lo)
-                     .otherwise(F.concat(lo, F.lit("-"), hi)).alias("price_text")))
-
-    @shared
-    def product_set(self) -> DataFrame:
-        """sfra.SpecialProductSet: one row per (set, leg, product, colour).
-        extra: url.  ``list_price``/``sale_price`` are both the price text."""
-        keys = (self.lineitem
-                .select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-                .distinct())
-        o = self.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority",
-                               "o_totalprice")
-        j = (keys.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-             .join(self.set_price_text, "l_orderkey"))
-        return j.select(
-            F.col("l_orderkey").alias("set_id"),
-            F.col("l_linenumber").alias("leg_no"),
-            F.col("l_partkey").alias("product_id"),
-            F.col("l_suppkey").alias("color_id"),
-            F.concat(_s("l_partkey"), F.lit("-"), _s("l_suppkey")).alias("variation_group"),
+    def legs(self) -> DataFrame:
+        """The keys of the product-set rows: (set, leg, product, colour)."""
+        return self.lineitem.select(
+            F.col("l_orderkey").alias("set_id"), F.col("l_linenumber").alias("leg_no"),
+            F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("color_id")).distinct()
+
+    @cached_property
+    def set_header(self) -> DataFrame:
+        """The columns of a set that all its rows share.  extra: url."""
+        return self.orders.select(
+            F.col("o_orderkey").alias("set_id"),
             F.col("o_custkey").alias("uber_set_id"),
-            F.concat(F.lit("Set "), _s("l_orderkey")).alias("display_name"),
+            F.concat(F.lit("Set "), _s("o_orderkey")).alias("display_name"),
             F.when(F.col("o_orderstatus") == "P", 0).otherwise(1).alias("searchable_flag"),
             F.when(F.col("o_orderpriority") == "5-LOW", 0).otherwise(1).alias("online_flag"),
             F.when(F.col("o_totalprice") < 1000, 0).otherwise(1).alias("available_flag"),
-            F.col("price_text").alias("list_price"),
-            F.col("price_text").alias("sale_price"),
-            F.concat(F.lit("/sets/"), _s("l_orderkey")).alias("url"),
-        )
+            F.concat(F.lit("/sets/"), _s("o_orderkey")).alias("url"))
+
+    @cached_property
+    def set_price_text(self) -> DataFrame:
+        """(set, list_price, sale_price) texts: 'low-high' or one amount, one row for odd and one for even legs."""
+        li = self.lineitem
+        sale = F.col("l_extendedprice").cast(DEC2) * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))
+
+        def text(amount):
+            lo = F.min(amount).cast(DEC2).cast("string")
+            hi = F.max(amount).cast(DEC2).cast("string")
+            return F.when(F.count(F.lit(1)) == 1, lo).otherwise(F.concat(lo, F.lit("-"), hi))
+
+        return (li.groupBy(F.col("l_orderkey").alias("set_id"), (F.col("l_linenumber") % 2).alias("odd"))
+                .agg(text(F.col("l_extendedprice").cast(DEC2)).alias("list_price"), text(sale).alias("sale_price"))
+                .drop("odd"))
 
     # -- style / size / inventory / price -----------------------------------
-    @shared
+    def _line_keys(self) -> list[F.Column]:
+        return [F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("color_id"),
+                F.col("l_linenumber").alias("size_no")]
+
+    @staticmethod
+    def _style_status():
+        return F.when(F.col("color_id") % 7 == 0, 0).otherwise(1)
+
+    @staticmethod
+    def _size_status():
+        return F.when(F.col("size_no") == 7, 0).otherwise(1)
+
+    @cached_property
     def style(self) -> DataFrame:
-        li = self.lineitem
-        return li.select(
-            (F.col("l_partkey") * 100000 + F.col("l_suppkey")).alias("style_id"),
-            F.col("l_partkey").alias("product_id"),
-            F.col("l_suppkey").alias("color_id"),
-            F.when(F.col("l_suppkey") % 7 == 0, 0).otherwise(1).alias("status"),
-            F.concat(F.lit("MF"), _s(F.col("l_suppkey") % 11)).alias("mf_item_id"),
-        ).distinct()
-
-    @shared
-    def _sku_agg(self) -> DataFrame:
-        li = self.lineitem
-        qty = F.col("l_quantity").cast("int")
-        return (li.groupBy("l_partkey", "l_suppkey", "l_linenumber").agg(
-            F.max("l_extendedprice").cast(DEC2).alias("was_price"),
-            F.sum(F.when(F.col("l_returnflag") == "A", qty).otherwise(0)).cast("bigint")
-            .alias("quantity"),
-            F.sum(F.when(F.col("l_returnflag") == "N", qty).otherwise(0)).cast("bigint")
-            .alias("backorder_quantity"),
-        ).withColumn("style_id", F.col("l_partkey") * 100000 + F.col("l_suppkey"))
-         .withColumn("size_id", F.col("style_id") * 10 + F.col("l_linenumber")))
+        return (self.lineitem.select(*self._line_keys()[:2]).distinct()
+                .select("product_id", "color_id", self._style_status().alias("status"),
+                        F.concat(F.lit("MF"), _s(F.col("color_id") % 11)).alias("mf_item_id")))
 
     @cached_property
     def size(self) -> DataFrame:
-        return self._sku_agg.select(
-            "size_id", "style_id",
-            F.when(F.col("l_linenumber") == 7, 0).otherwise(1).alias("status"),
-            "was_price")
+        return (self.lineitem.groupBy(*self._line_keys())
+                .agg(F.max("l_extendedprice").cast(DEC2).alias("was_price"))
+                .select(*SIZE_KEY, self._size_status().alias("status"), "was_price"))
+
+    @staticmethod
+    def _units(flag: str) -> F.Column:
+        """Units of the rows with a flag; NULL where there are none."""
+        return F.sum(F.when(F.col("l_returnflag") == flag, F.col("l_quantity").cast("int"))).cast("bigint")
 
     @cached_property
     def inventory(self) -> DataFrame:
-        return self._sku_agg.select("size_id", "quantity", "backorder_quantity")
+        return self.lineitem.groupBy(*self._line_keys()).agg(
+            self._units("A").alias("quantity"), self._units("N").alias("backorder_quantity"))
+
+    def _price_columns(self) -> list[F.Column]:
+        return [F.col("l_extendedprice").cast(DEC2).alias("selling_price"),
+                F.when(F.col("l_discount") > 0.085, 0).otherwise(1).alias("price_status")]
 
-    @shared
+    @cached_property
     def price(self) -> DataFrame:
-        li = self.lineitem
-        return li.select(
-            ((F.col("l_partkey") * 100000 + F.col("l_suppkey")) * 10 + F.col("l_linenumber"))
-            .alias("size_id"),
-            F.col("l_extendedprice").cast(DEC2).alias("selling_price"),
-            F.when(F.col("l_discount") > 0.085, 0).otherwise(1).alias("status"),
-        ).distinct()
+        return (self.lineitem.select(*self._line_keys(), *self._price_columns()).distinct()
+                .withColumnRenamed("price_status", "status"))
+
+    @cached_property
+    def sku(self) -> DataFrame:
+        """The size grain in one pass: stock, style and size status, and a summary of the size's price rows.
+
+        Equal to style x size x inventory with the (distinct) prices counted:
+        first per price row, then per size, both combined map-side.
+        """
+        rows = self.lineitem.groupBy(*self._line_keys(), *self._price_columns()).agg(
+            F.max("l_extendedprice").cast(DEC2).alias("was"),
+            self._units("A").alias("a"), self._units("N").alias("n"))
+        price, active = F.col("selling_price"), F.col("price_status") == 1
+        return rows.groupBy(*SIZE_KEY).agg(
+            F.max("was").alias("was_price"), F.sum("a").alias("quantity"), F.sum("n").alias("backorder_quantity"),
+            F.count(F.lit(1)).alias("n_prices"), F.sum(price).alias("sum_price"), F.min(price).alias("min_price"),
+            F.max(price).alias("max_price"), F.count(F.when(active, 1)).alias("n_active"),
+            F.min(F.when(active, price)).alias("min_active"), F.max(F.when(active, price)).alias("max_active"),
+        ).withColumns({"style_status": self._style_status(), "size_status": self._size_status()})
 
     # -- categories ----------------------------------------------------------
     @cached_property
     def category(self) -> DataFrame:
-        """sfra.Category plus ``parent_id`` (our addition: nation -> region -> root)."""
+        """The categories, with ``parent_id`` (our addition: nation -> region -> root)."""
         n = self.table("nation")
         k = F.col("n_nationkey")
         nations = n.select(
@@ -236,9 +248,10 @@ class Catalog:
             F.when(k % 6 == 5, "false").otherwise("true").alias("online_flag"),
             F.when(k % 5 == 0, F.lit(None)).when(k % 5 == 1, "1995-01-01")
             .when(k % 5 == 2, "2030-01-01").when(k % 5 == 3, "junk")
-            .otherwise("2000-06-01").alias("online_from"),
+            .when(k % 2 == 0, "2000").otherwise("Jun 1 2000").alias("online_from"),
             F.when(k % 4 == 0, F.lit(None)).when(k % 4 == 1, "2030-01-01")
-            .when(k % 4 == 2, "n/a").otherwise("2024-01-15").alias("online_to"),
+            .when(k % 4 == 2, "n/a").when(k % 8 == 3, "2024-01-15 10:30")
+            .otherwise("Jan 20 2024").alias("online_to"),
             F.when(k % 11 == 10, 1).when(k % 2 == 0, 0).alias("is_hidden"),
         )
         regions = self.table("region").select(
@@ -263,7 +276,7 @@ class Catalog:
 
     @cached_property
     def category_product(self) -> DataFrame:
-        """sfra.CategoryProduct keyed by child product."""
+        """Category rows keyed by child product."""
         g = self.line_geo
         # max over the text ('' < ' ' < 'true'), taken on an int code so the
         # aggregate stays a hash aggregate (a string max sorts)
@@ -276,9 +289,9 @@ class Catalog:
                     F.concat(F.lit("n"), _s("n_nationkey")).alias("category_id"),
                     "primary_category"))
 
-    @shared
+    @cached_property
     def set_category(self) -> DataFrame:
-        """sfra.CategoryProduct rows whose product-id is a set id."""
+        """Category rows whose product is a set."""
         g = self.line_geo
         top = F.max(F.when(F.col("l_linenumber") == 1, 1).otherwise(0))
         return (g.groupBy("l_orderkey", "n_regionkey", "n_nationkey").agg(
@@ -289,33 +302,38 @@ class Catalog:
                     "primary_category"))
 
     # -- attributes (EAV) ----------------------------------------------------
+    @cached_property
+    def attribute(self) -> DataFrame:
+        """The attribute dimension: the published names, and one that is not published."""
+        names = F.array(*map(F.lit, (*PIVOT_NAMES, "unlisted")))
+        return self.spark.range(1).select(F.posexplode(names).alias("attribute_id", "name"))
+
     @cached_property
     def attribute_value(self) -> DataFrame:
-        """ProductAttributeValue x Attribute x AttributeValue, already joined."""
-        li = self.lineitem
-        flag = li.select(F.col("l_partkey").alias("product_id"), F.lit("flag").alias("name"),
-                         F.lit(None).cast("string").alias("display_value"),
-                         F.col("l_returnflag").alias("attribute_value"),
-                         F.lit(1).alias("status")).distinct()
-        rod = li.select(F.col("l_partkey").alias("product_id"), F.lit("rod-type").alias("name"),
-                        F.when(F.col("l_linestatus") == "O", "Open").alias("display_value"),
-                        F.col("l_linestatus").alias("attribute_value"),
-                        F.when(F.col("l_linenumber") == 7, 0).otherwise(1).alias("status")
-                        ).distinct()
-        p = self.part
-        fabric = p.select(F.col("p_partkey").alias("product_id"),
-                          F.lit("fabric_/_material").alias("name"),
-                          F.lit(None).cast("string").alias("display_value"),
-                          F.col("p_type").alias("attribute_value"), F.lit(1).alias("status"))
-        unlisted = p.select(F.col("p_partkey").alias("product_id"), F.lit("unlisted").alias("name"),
-                            F.lit(None).cast("string").alias("display_value"),
-                            F.lit("z").alias("attribute_value"), F.lit(1).alias("status"))
-        return flag.unionByName(rod).unionByName(fabric).unionByName(unlisted)
+        """The attribute-value dimension: a display text (or none), some with quotes; some ids are missing."""
+        n = F.col("p_size")
+        return (self.part.filter(n % 13 != 0).select(n.cast("bigint").alias("value_id")).distinct().select(
+            "value_id",
+            F.when(F.col("value_id") % 3 == 1, F.concat(F.lit("Value "), _s("value_id")))
+            .when(F.col("value_id") % 3 == 2, F.concat(F.lit('Size "'), _s("value_id"), F.lit('"'))).alias("display_value"),
+            F.concat(F.lit("v"), _s("value_id")).alias("attribute_value")))
+
+    @cached_property
+    def product_attribute_value(self) -> DataFrame:
+        """Eight attributes of each product, every other one with two values; some ids are in no dimension."""
+        key, k = F.col("p_partkey"), F.col("k")
+        rows = self.part.select("p_partkey", F.explode(F.sequence(F.lit(0), F.lit(7))).alias("k"))
+        values = F.when(k % 2 == 0, F.array(1 + (key + k * 11) % 50, 1 + (key * 3 + k) % 50)).otherwise(
+            F.array(1 + (key + k * 11) % 50))
+        return rows.select(
+            key.alias("product_id"), ((key * 5 + k * k * 3 + k) % (len(PIVOT_NAMES) + 2)).cast("int").alias("attribute_id"),
+            F.explode(values.cast("array<bigint>")).alias("value_id"),
+            F.when((key + k) % 9 == 0, 0).otherwise(1).alias("status"))
 
     # -- reviews, promos, lookups ---------------------------------------------
     @cached_property
     def reviews(self) -> DataFrame:
-        """ProductSetReviews (the cross-database source)."""
+        """Set reviews (the cross-database source)."""
         return (self.events.filter(F.col("event_type") == "view").groupBy("user_id")
                 .agg(F.count(F.lit(1)).alias("review_count"),
                      F.max("value").cast(DEC2).alias("average_rating"))
@@ -323,7 +341,7 @@ class Catalog:
 
     @cached_property
     def promo(self) -> DataFrame:
-        """sfra.FinalPricePromo."""
+        """Final-price promos."""
         return (self.events.filter(F.col("event_type") == "purchase")
                 .select(F.col("user_id").alias("product_id"), F.col("ts").alias("date_created"),
                         F.col("value").cast(DEC2).alias("promo_price")))
@@ -344,7 +362,7 @@ class Catalog:
     @cached_property
     def product_url(self) -> DataFrame:
         """Result of the product-url function: (product, brand code) -> url."""
-        b = F.broadcast(self.brand.select("brand_id", "brand_code"))
+        b = self.brand.select("brand_id", "brand_code")
         return (self.product.select("product_id", "brand_id")
                 .filter(F.col("product_id") % 13 != 0)
                 .join(b, "brand_id")
@@ -372,7 +390,7 @@ class Catalog:
 
     @cached_property
     def sps_attributes(self) -> DataFrame:
-        """br.SPSAttributes: set-level '|'-joined item types."""
+        """Set-level '|'-joined item types."""
         o = self.orders.filter(F.col("o_orderkey") % 5 != 0)
         k = F.col("o_orderkey") % 3
         return o.select(F.col("o_orderkey").alias("set_id"),

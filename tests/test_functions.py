@@ -6,7 +6,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from tessera.functions.dates import clean_date_text, parse_date_text, valid_on
+from tessera.functions.dates import parse_date_text, valid_on
 from tessera.functions.flags import all_true_text, iif, positive_flag, true_false_text
 from tessera.functions.money import parse_money, range_high, range_low
 from tessera.functions.text import (concat_nullable, concat_skip_null, nonblank, product_path,
@@ -37,21 +37,22 @@ def test_price_range_edges(spark):
     assert got[None] == (None, None)
 
 
-def test_parse_money_rejects_scientific(spark):
-    r = _one_col(spark, ["1e2", "12.", ".5"]).select(parse_money("x").alias("m")).collect()
-    assert [x.m for x in r] == [None, Decimal("12.0000"), Decimal("0.5000")]
+def test_parse_money_shapes(spark):
+    want = {"1e2": None, "12.": "12", ".5": "0.5", "1$2": None, "5$": None, "$5": "5", "-$5": "-5", "$-5": "-5", "- $ 5": "-5",
+            "1,234.5": "1234.5", "1.2,3": None, ",5": None, "--5": None, "$$5": None, " ": "0", "": "0", "5-": None}
+    rows = _one_col(spark, list(want)).select("x", parse_money("x").alias("m")).collect()
+    assert {r.x: r.m for r in rows} == {k: v and Decimal(v) for k, v in want.items()}
 
 
 def test_date_cleaning(spark):
-    df = _one_col(spark, ["2024-01-01", "junk", "20240101", "01/02/2024", "n/a", None])
-    rows = df.select("x", clean_date_text("x").alias("c"), parse_date_text("x").alias("t")).collect()
-    got = {r.x: (r.c, r.t) for r in rows}
-    assert got["2024-01-01"] == ("2024-01-01", dt.datetime(2024, 1, 1))
-    assert got["junk"] == (None, None)
-    assert got["20240101"][0] == "20240101"
-    assert got["01/02/2024"][1] == dt.datetime(2024, 1, 2)
-    assert got["n/a"] == (None, None)
-    assert got[None] == (None, None)
+    want = {
+        "2024-01-01": (2024, 1, 1), "20240101": (2024, 1, 1), "01/02/2024": (2024, 1, 2), "2024": (2024, 1, 1),
+        "2024-01-01 10:30": (2024, 1, 1, 10, 30), "2024-01-01T10:30:05": (2024, 1, 1, 10, 30, 5),
+        "01/02/2024 10:30": (2024, 1, 2, 10, 30), "Jan 5 2024": (2024, 1, 5), "Jan 5, 2024": (2024, 1, 5),
+        "5 Jan 2024": (2024, 1, 5), "January 15, 2024": (2024, 1, 15), "Jan 15 2024 08:05": (2024, 1, 15, 8, 5),
+        "junk": None, "n/a": None, "13/45/2024": None, "": None, None: None}
+    rows = _one_col(spark, list(want)).select("x", parse_date_text("x").alias("t")).collect()
+    assert {r.x: r.t for r in rows} == {k: v and dt.datetime(*v) for k, v in want.items()}
 
 
 def test_validity_interval_at_tomorrow(spark):

@@ -2,6 +2,7 @@
 
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators.aggregates import eav_pivot, string_agg
@@ -18,25 +19,29 @@ def test_top1_per_key_total_order(spark):
 
 
 def test_fallback_lookup_matches_double_left_join(spark):
-    left = spark.createDataFrame([(1, "s1"), (2, "s1"), (3, "s1"), (4, "s2")], "pid int, site string")
+    left = spark.createDataFrame([(1, "s1"), (2, "s1"), (3, "s1"), (4, "s2"), (1, "s1"),    # a repeated left row
+                                  (5, "s1"), (6, "s1"), (6, None), (None, "s1")], "pid int, site string")
     right = spark.createDataFrame(
         [(1, "s1", "c1", "t"), (1, "s2", "c2", "t"), (1, "s2", "c3", "t"),   # own site wins
          (2, "s2", "c4", "t"), (2, "s3", "c5", "t"),                         # no own site: two rows
          (2, "s2", "c6", " "),                                               # blank: ignored
-         (4, "s2", "c7", "t"), (4, "s2", "c7", "t")],                        # duplicates count
+         (4, "s2", "c7", "t"), (4, "s2", "c7", "t"),                         # duplicates count
+         (5, "s1", None, "t"), (5, "s2", "c8", "t"), (5, "s1", "c9", "t"),   # own site without a value
+         (6, "s1", None, "t"), (6, None, "c1", "t"), (None, "s1", "c1", "t")],
         "pid int, site_id string, cat string, flag string")
     out = fallback_lookup(left, right, key="pid", prefer=("site", "site_id"), value="cat",
                           out="pc", right_filter=F.rtrim("flag") != "")
-    got = Counter({(r.pid, r.pc): r.mult for r in out.collect()})
+    got = Counter({(r.pid, r.site, r.pc): r.mult for r in out.collect()})
     # brute force: literal double left join
     lrows, rrows = left.collect(), [r for r in right.collect() if r.flag.rstrip() != ""]
     brute = Counter()
     for l in lrows:
-        r1 = [r for r in rrows if r.pid == l.pid and r.site_id == l.site] or [None]
-        r2 = [r for r in rrows if r.pid == l.pid] or [None]
+        r1 = [r for r in rrows if l.pid is not None and r.pid == l.pid and l.site is not None and r.site_id == l.site] or [None]
+        r2 = [r for r in rrows if l.pid is not None and r.pid == l.pid] or [None]
         for a in r1:
             for b in r2:
-                brute[(l.pid, a.cat if a else (b.cat if b else None))] += 1
+                own = a.cat if a else None
+                brute[(l.pid, l.site, own if own is not None else (b.cat if b else None))] += 1
     assert got == brute
 
 
@@ -94,3 +99,24 @@ def test_walk_to_root(spark):
     got = sorted((r.node_id, r.depth, r.ancestor_id) for r in w.collect())
     assert ("b", 2, "root") in got and ("b", 0, "b") in got and ("root", 0, "root") in got
     assert len([g for g in got if g[0] == "b"]) == 3
+
+
+def _nodes(spark, pairs):
+    return spark.createDataFrame([(a, b, a) for a, b in pairs], "category_id string, parent_id string, display_name string")
+
+
+def test_walk_goes_as_deep_as_the_tree(spark):
+    chain = [(f"n{i}", f"n{i - 1}" if i else None) for i in range(130)]
+    got = {r.ancestor_id for r in walk_to_root(spark, _nodes(spark, chain)).filter("node_id = 'n129'").collect()}
+    assert got == {f"n{i}" for i in range(130)}
+
+
+def test_walk_raises_on_a_cycle(spark):
+    with pytest.raises(Exception, match="cycle in the hierarchy"):
+        walk_to_root(spark, _nodes(spark, [("a", "b"), ("b", "a"), ("c", "a")])).collect()
+
+
+def test_walk_beyond_a_million_pairs(spark):
+    flat = spark.range(600_000).select(F.col("id").cast("string").alias("category_id"),
+                                       F.when(F.col("id") > 0, "0").alias("parent_id"), F.lit("x").alias("display_name"))
+    assert walk_to_root(spark, flat).count() == 2 * 600_000 - 1
