@@ -17,6 +17,7 @@ most ``max_block_bytes`` of item text; a larger benchmark takes more passes.
 
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
 
 import pyarrow as pa
@@ -24,11 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_text, without
+from .common import map_text, without, worker_state
 
 WINDOW_WORDS = 13
 BLOCK = 2
-MAX_BLOCK_BYTES = 32 << 20
+MAX_BLOCK_BYTES = 1 << 20
 _SPLIT = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32
                for c in range(256))
 
@@ -131,8 +132,8 @@ def find_contamination(df: DataFrame, benchmark: DataFrame, text_col: str = "tex
     for k, block in enumerate(_blocks(benchmark, item_id_col, item_text_col, max_block_bytes)):
         tables = spark.sparkContext.broadcast((block, window))
 
-        def start(tables=tables):
-            searchers = build(*tables.value)
+        def start(k=k, key=uuid.uuid4().hex, tables=tables):
+            searchers = worker_state(f"wu-manber-{k}", key, lambda: build(*tables.value))
 
             def work(texts):
                 n, spans, items = zip(*(scan(searchers, t) for t in texts))

@@ -4,7 +4,9 @@ Unit vectors at cosine c lie sqrt(2 - 2c) apart, so the threshold is a radius.
 
 1. Equal vectors of a label become one class with its number of copies.
 2. The cover tree's upper level is a set of pivots (a bounded sample of the
-   vectors, the same for all labels).  A class lives in the cell of its
+   vectors, the same for all labels): one for every ``chunk_rows`` classes,
+   within ``PIVOTS``.  They decide how the work is cut, not what is found.
+   A class lives in the cell of its
    nearest pivot and visits, as a guest, each cell of a later pivot that its
    radius ball may reach: the cell's covering radius and the border between
    the two pivots both bound that.
@@ -34,7 +36,7 @@ from .common import materialize, small_batches
 from .components import components
 
 THRESHOLD = 0.98
-PIVOTS = 16
+PIVOTS = (16, 4096)
 CHUNK_ROWS = 4096
 LEAF = 64
 _SLACK = 1e-6  # bounds are taken this much wider, so rounding never loses a pair
@@ -184,7 +186,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def threshold_links(df: DataFrame, id_col: str = "vec_id", embedding_col: str = "embedding",
-                    label_col: str = "label", threshold: float = THRESHOLD, pivots: int = PIVOTS,
+                    label_col: str = "label", threshold: float = THRESHOLD, pivots: int | None = None,
                     chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """(id, n_links, component_id, kept), one row for each row of ``df``.
 
@@ -204,6 +206,7 @@ def threshold_links(df: DataFrame, id_col: str = "vec_id", embedding_col: str =
         sound.groupBy("label", "e").agg(F.count("*").alias("copies"), F.min("id").alias("least"))
         .withColumn("class", F.monotonically_increasing_id()), "cover-classes")
     # a bounded sample: the vectors with the least hashes, of each length
+    pivots = pivots or min(max(classes.count() // chunk_rows, PIVOTS[0]), PIVOTS[1])
     top = [r["e"] for r in classes.select("e").orderBy(F.xxhash64("e")).limit(pivots).collect()]
     lengths = sorted({len(e) for e in top})
     pivot = {n: np.array([e for e in top if len(e) == n], np.float64) for n in lengths}
@@ -235,10 +238,11 @@ def threshold_links(df: DataFrame, id_col: str = "vec_id", embedding_col: str =
     schema = "label {0}, e {1}, class long, copies long, dim long, cell long, far double".format(
         classes.schema["label"].dataType.simpleString(), classes.schema["e"].dataType.simpleString())
     placed = materialize(classes.select("label", "e", "class", "copies").mapInArrow(home, schema), "cover-home")
-    # pivots x lengths x labels rows; a table, not a broadcast, since labels may be many
     cells = materialize(placed.groupBy("label", "dim", "cell").agg(
         F.max("far").alias("radius"), F.count("*").alias("n")), "cover-cells")
-    per_label = cells.groupBy("label", "dim").agg(F.collect_list(F.struct("cell", "radius")).alias("radii"))
+    radius = {n: np.full(len(m), -1.0) for n, m in pivot.items()}  # covering radius of each pivot, over all labels
+    for r in cells.where(F.col("dim").isin(lengths)).groupBy("dim", "cell").agg(F.max("radius").alias("r")).collect():
+        radius[r["dim"]][r["cell"]] = r["r"]
 
     def guests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -248,13 +252,9 @@ def threshold_links(df: DataFrame, id_col: str = "vec_id", embedding_col: str =
                 d = _distance(unit_of(own.column("e"), n), pivot[n].T)
                 cell = own.column("cell").to_numpy()
                 between = _distance(pivot[n], pivot[n].T)
-                radius = np.full(d.shape, -1.0)
-                for i, radii in enumerate(own.column("radii").to_pylist()):
-                    for r in radii:
-                        radius[i, r["cell"]] = r["radius"]
                 at = np.arange(len(own))
                 border = (d ** 2 - d[at, cell][:, None] ** 2) / (2 * np.maximum(between[cell], 1e-12))
-                go = (radius >= 0) & (d <= radius + reach) & (border <= reach) & (
+                go = (radius[n] >= 0) & (d <= radius[n] + reach) & (border <= reach) & (
                     np.arange(d.shape[1])[None, :] > cell[:, None])
                 i, to = np.nonzero(go)
                 if len(i):
@@ -264,7 +264,7 @@ def threshold_links(df: DataFrame, id_col: str = "vec_id", embedding_col: str =
                         names=["label", "e", "class", "copies", "dim", "cell"])
 
     key = ["label", "dim", "cell"]
-    visiting = materialize(placed.join(per_label, ["label", "dim"]).mapInArrow(
+    visiting = materialize(placed.mapInArrow(
         guests, schema.removesuffix(", far double")), "cover-guests")
     # A chunk of a cell meets itself, the chunks after it and every chunk of guests (-1, -2, ...).
     chunks = F.ceil(F.col("n") / chunk_rows)

@@ -177,7 +177,10 @@ def sample_by_label(train: DataFrame, max_rows: int) -> DataFrame:
     a frequent label's rows do not meet in one task.
     """
     sizes = materialize(train.groupBy("label").agg(F.count("*").alias("n")), "label-counts")
-    each = max(1, max_rows // max(sizes.count(), 1))
+    n_labels = sizes.count()
+    if n_labels > max_rows:
+        raise ValueError(f"{n_labels} labels, and {max_rows} rows to learn them from")
+    each = max(1, max_rows // max(n_labels, 1))
     span = 1 << 30
     # 2 * each + 64 rows are expected: fewer than each are as good as impossible
     near = (train.join(sizes, "label").withColumn("h", F.xxhash64("key", "text"))
