@@ -37,7 +37,7 @@ from part""",
 select distinct cast(substr(p_brand,7) as int) as brand_id, p_brand as brand_name,
   concat('r', cast(cast(substr(p_brand,7) as int) % 5 as varchar)) as brand_code
 from part where cast(substr(p_brand,7) as int) % 12 <> 5""",
-    "classification": "select distinct p_type as classification from part where length(p_type) % 9 <> 0",
+    "classification": "select distinct p_type as classification from part where length(p_type) % 9 <> 6",
     "legs": """
 select distinct l_orderkey as set_id, l_linenumber as leg_no, l_partkey as product_id, l_suppkey as color_id
 from lineitem""",

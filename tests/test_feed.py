@@ -6,7 +6,17 @@ import tempfile
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from tessera.plans import oracle, oracle_catalog
+from tessera.plans.compare import compare, duck
+from tessera.plans.context import stages_for
+from tessera.plans.feed import EMPTY_SET_KEYS, published, variants, views
 from tessera.plans.job import build_feed, run_feed
+from tessera.plans.oracle import SQL
+from tessera.plans.stages import OUTPUT_KEY_RENAMES
+from tessera.sources.catalog import PIVOT_NAMES
+from tessera.sources.sinks import append_error
 
 
 def _no_dupes(pairs):
@@ -81,3 +91,72 @@ def test_run_feed_logs_error_and_reraises(spark):
         run_feed(spark, os.path.join(base, "no-such-dir"), os.path.join(base, "out"), error_log=log)
     rows = spark.read.parquet(log).collect()
     assert len(rows) == 1 and rows[0].object_name == "run_feed" and rows[0].message.startswith("ERROR")
+
+
+def test_a_failing_error_log_does_not_hide_the_error(spark, capsys):
+    base = tempfile.mkdtemp(prefix="tessera-err-")
+    blocked = os.path.join(base, "file")
+    open(blocked, "w").close()
+    with pytest.raises(Exception, match="no-such-dir"):
+        run_feed(spark, os.path.join(base, "no-such-dir"), os.path.join(base, "out"), error_log=os.path.join(blocked, "log"))
+    assert "error log could not be written" in capsys.readouterr().err
+
+
+def test_the_error_log_has_the_whole_trace_and_the_time(spark):
+    log = os.path.join(tempfile.mkdtemp(prefix="tessera-err-"), "log")
+    try:
+        raise ValueError("x" * 3000)
+    except ValueError as exc:
+        append_error(spark, log, "job", exc)
+    row = spark.read.parquet(log).withColumn("age", F.current_timestamp().cast("double") - F.col("logged_at").cast("double")).first()
+    assert "test_feed.py" in row.trace and "x" * 3000 in row.trace and 0 <= row.age < 300
+
+
+def test_nothing_stays_cached_after_the_feed(spark, sf_small):
+    spark.catalog.clearCache()
+    run_feed(spark, sf_small, os.path.join(tempfile.mkdtemp(prefix="tessera-feed-"), "feed"))
+    assert spark._jsc.getPersistentRDDs().isEmpty()
+
+
+def test_children_are_built_for_published_sets_only(spark, sf_small, docs):
+    st = stages_for(spark, sf_small)
+    sets = published(st).checkpoint()
+    assert sets.count() == len(docs)
+    ids = {r.set_id for r in docs}
+    for child in (variants(st, sets), views(st, sets)):
+        assert {r.set_id for r in child.select("set_id").collect()} <= ids
+    assert "LeftSemi" in variants(st, sets)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_every_pivoted_attribute_has_values_of_each_kind(spark, sf_small):
+    row = stages_for(spark, sf_small).attributes
+    seen = row.agg(*[F.count(f"`{n}`").alias(n) for n in PIVOT_NAMES],
+                   *[F.max(F.col(f"`{n}`").contains("|").cast("int")).alias("multi_" + n) for n in PIVOT_NAMES],
+                   *[F.max(F.col(f"`{n}`").contains('"').cast("int")).alias("quoted_" + n) for n in PIVOT_NAMES]).first().asDict()
+    assert all(seen.values()) and any(r[n] is None for r in row.limit(50).collect() for n in PIVOT_NAMES)
+
+
+def test_fixture_tells_list_from_sale_price_and_has_two_rows_for_a_set(spark, sf_small):
+    p = stages_for(spark, sf_small).promo_prices
+    assert not p.filter("list_price <> sale_price").isEmpty()
+    assert not p.groupBy("set_id").count().filter("count = 2").isEmpty()
+    con = duck(sf_small)
+    swapped = p.select("set_id", F.col("sale_price").alias("list_price"), F.col("list_price").alias("sale_price"),
+                       *[F.col(f"{b}_price_{x}").alias(f"{a}_price_{x}") for a, b in (("list", "sale"), ("sale", "list")) for x in ("low", "high")])
+    assert compare(p, con, SQL["price_range"])["values_match"] and not compare(swapped, con, SQL["price_range"])["values_match"]
+
+
+def test_dimensions_lack_some_keys(spark, sf_small):
+    cat = stages_for(spark, sf_small).cat
+    n = cat.product.count()
+    for other, key in ((cat.brand, "brand_id"), (cat.classification, "classification"), (cat.site_product, "product_id"),
+                       (cat.product_price, "product_id")):
+        assert 0 < cat.product.join(other, key, "left_semi").count() < n
+    assert not cat.product.filter("is_international is null").isEmpty() and not cat.inventory.filter("quantity is null").isEmpty()
+
+
+def test_the_oracle_holds_its_own_lists():
+    source = open(oracle.__file__).read() + open(oracle_catalog.__file__).read()
+    assert "from .feed" not in source and "from .stages" not in source and "sources.catalog import" not in source
+    assert tuple(oracle_catalog.ATTRIBUTE_NAMES) == PIVOT_NAMES and tuple(oracle.EMPTY_KEYS) == EMPTY_SET_KEYS
+    assert oracle.RENAMED == OUTPUT_KEY_RENAMES
