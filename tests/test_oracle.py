@@ -4,9 +4,8 @@ import pytest
 
 import __spark_entry__ as entry
 from tessera.plans.compare import compare, duck
-
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+from tessera.plans.oracle import SQL
+from tessera.plans.queries import REGISTRY as QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -14,8 +13,9 @@ def con(sf_small):
     return duck(sf_small)
 
 
-def test_every_query_has_an_oracle():
+def test_every_query_has_an_oracle_and_is_registered():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
