@@ -68,8 +68,10 @@ select l_partkey as product_id, l_suppkey as color_id, l_linenumber as size_no,
 from lineitem group by l_partkey, l_suppkey, l_linenumber""",
     "inventory": """
 select l_partkey as product_id, l_suppkey as color_id, l_linenumber as size_no,
-  cast(sum(case when l_returnflag = 'A' then cast(l_quantity as int) end) as bigint) as quantity,
-  cast(sum(case when l_returnflag = 'N' then cast(l_quantity as int) end) as bigint) as backorder_quantity
+  cast(sum(case when l_returnflag = 'A' then cast(l_quantity as int)
+    when (l_partkey + l_linenumber) % 11 <> 3 then 0 end) as bigint) as quantity,
+  cast(sum(case when l_returnflag = 'N' then cast(l_quantity as int)
+    when (l_partkey + l_linenumber) % 11 <> 3 then 0 end) as bigint) as backorder_quantity
 from lineitem group by l_partkey, l_suppkey, l_linenumber""",
     "price": """
 select distinct l_partkey as product_id, l_suppkey as color_id, l_linenumber as size_no,
