@@ -190,29 +190,35 @@ def category_path_lists(st: Stages) -> DataFrame:
                                     F.col("ancestor_name").alias("name")), "path")
 
 
-def view_paths(st: Stages, sets: DataFrame | None = None) -> DataFrame:
-    """Per (set, site): the paths of its live categories, primary ones first (of ``sets``, if given)."""
-    cp = st.cat.set_category
-    if sets is not None:
-        cp = exists_in(cp, sets.select("set_id"), "set_id")
-    rows = exists_in(cp, st.live_categories.select("category_id"), "category_id")
-    rows = rows.join(category_path_lists(st).withColumnRenamed("node_id", "category_id"),
-                     "category_id")
+def live_paths(st: Stages) -> DataFrame:
+    """(category_id, path) of the live categories."""
+    paths = category_path_lists(st).withColumnRenamed("node_id", "category_id")
+    return exists_in(paths, st.live_categories.select("category_id"), "category_id")
+
+
+def _site_paths(rows: DataFrame) -> DataFrame:
+    """Per (set, site): its paths, primary categories first (a NULL path keeps its place)."""
     return collect_ordered(rows, ["set_id", "site_id"],
                            [(F.col("primary_category"), True), (F.col("category_id"), False)],
                            F.col("path"), "category_paths")
 
 
+def view_paths(st: Stages) -> DataFrame:
+    """Per (set, site): the paths of its live categories, primary ones first."""
+    return _site_paths(st.cat.set_category.join(live_paths(st), "category_id"))
+
+
 def views(st: Stages, sets: DataFrame) -> DataFrame:
-    sites = exists_in(st.cat.set_category.select("set_id", "site_id"), sets.select("set_id"), "set_id").distinct()
-    urls = sites.join(st.cat.set_url, ["set_id", "site_id"])
-    # one url per (set, site), picked before the path arrays are attached
-    urls = top1_per_key(urls.filter(F.col("site_id").isNotNull()), ["set_id", "site_id"], ["url"],
-                        ["url"])
-    v = urls.join(view_paths(st, sets), ["set_id", "site_id"], "left")
+    """Per published set, its sites with a url; a site without live categories has no paths."""
+    own = exists_in(st.cat.set_category, sets.select("set_id"), "set_id")
+    sites = _site_paths(own.join(live_paths(st), "category_id", "left")).select(
+        "set_id", "site_id", F.filter("category_paths", lambda p: p.isNotNull()).alias("category_paths"))
+    urls = exists_in(st.cat.set_url, sets.select("set_id"), "set_id")
+    # one url per (set, site), picked before it meets the path arrays
+    urls = top1_per_key(urls.filter(F.col("site_id").isNotNull()), ["set_id", "site_id"], ["url"], ["url"])
     value = F.struct(F.struct(nonempty(F.col("category_paths")).alias("category_paths"),
                               F.col("url").alias("url")).alias("attributes"))
-    return keyed_object(v, ["set_id"], "site_id", ["url"], value, "views", unique=True)
+    return keyed_object(sites.join(urls, ["set_id", "site_id"]), ["set_id"], "site_id", ["url"], value, "views", unique=True)
 
 
 # -- documents ---------------------------------------------------------------------------------
