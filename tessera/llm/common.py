@@ -92,5 +92,5 @@ def worker_state(kind: str, key, make: Callable):
 def small_batches(spark: SparkSession) -> None:
     """Arrow batches of ``BATCH_ROWS`` rows at most, so that long texts fit a worker."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) > BATCH_ROWS:
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
         spark.conf.set(key, str(BATCH_ROWS))
