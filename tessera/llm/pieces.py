@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from .common import map_text, worker_state
 
 SPACE = "▁"
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 700_000
 FIT_ENTRIES = 300_000
 CACHE_LENGTH = 48
 
@@ -187,6 +187,8 @@ class PieceModel:
 
     def _word(self, word: str) -> bytes:
         """Packed ids of a word with the space symbol before it."""
+        if word.isalpha():  # one stretch
+            return self._known[SPACE + word]
         return b"".join(map(self._known.__getitem__, self._stretches(SPACE + word)))
 
     def encode(self, text: str | None, add_eos: bool = True) -> list[int]:
