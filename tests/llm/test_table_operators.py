@@ -204,6 +204,21 @@ def test_scores_equal_brute_force(spark):
     assert len(twice) == 2 and twice[0] == twice[1] and suffix_tree.score_texts(df.limit(0), df).count() == 0
 
 
+def test_held_tables_do_not_change_scores(spark):
+    rng = random.Random(9)
+    texts = [" ".join(["a", rng.choice("bc"), f"r{rng.randrange(30)}", rng.choice(["d", "e f"])]) for _ in range(400)]
+    train = [t.encode() for t in texts]
+    n = sum(len(suffix_tree.tokens_of(t)) for t in train)
+    want, kept = brute_scores(train, train, 40 / n, suffix_tree.MIN_Z, suffix_tree.MIN_DIVERGENCE, suffix_tree.ALPHA)
+    assert kept
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for held in ({}, {"top_words": 3, "top_pairs": 2}):  # all other counts reach their tokens by the join
+        got = {r["doc_id"]: r for r in suffix_tree.score_texts(df, df, min_count=40, **held).collect()}
+        for i, (_, known, _, base, score) in enumerate(want):
+            r = got[i]
+            assert (r["n_known"], r["base_score"], r["score"]) == (known, pytest.approx(base), pytest.approx(score))
+
+
 # -- Tool calls ------------------------------------------------------------------------------
 
 
