@@ -219,6 +219,13 @@ def test_held_tables_do_not_change_scores(spark):
             assert (r["n_known"], r["base_score"], r["score"]) == (known, pytest.approx(base), pytest.approx(score))
 
 
+def test_contexts_of_any_length(spark):
+    texts = ["a x y p", "b x y q", "a b x p", "b a x q"] * 100 + ["k l m n o p", "j l m n o q"] * 100
+    df = spark.createDataFrame(list(enumerate(texts + ["a x y q", "b x y p"])), "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in suffix_tree.score_texts(df, df.where(F.col("doc_id") < len(texts)), min_count=50).collect()}
+    assert got[0] > got[len(texts)] + 1 and got[1] > got[len(texts) + 1] + 1  # three words back decide
+
+
 # -- Tool calls ------------------------------------------------------------------------------
 
 
