@@ -9,8 +9,10 @@ share of the template's words that are matched is its coverage.
 A text may hold several notices, or one notice twice, among much else.  It is
 first cut into regions: stretches in which words of the template follow each
 other with fewer than ``MAX_GAP`` other words between; within a region, each
-word that begins the template opens a place of its own.  A region with too few
-template words to reach the least coverage is not aligned.
+word that begins the template opens a place of its own, and what lies before
+and after an aligned notice is aligned again.  A region with too few template
+words to reach the least coverage is not aligned.  Of notices that overlap,
+the best one is kept.
 """
 
 from __future__ import annotations
@@ -106,30 +108,50 @@ class Template:
         self.need = max(1, ceil(len(self.words) * min_coverage - 1e-9))
         self.vocabulary = frozenset(self.words)
 
-    def regions(self, words: list[bytes], hits: list[int]):
-        """[start, end) of the stretches worth aligning; ``hits`` are places of the template's words."""
-        lo = 0
-        for k in range(1, len(hits) + 1):
-            if k == len(hits) or hits[k] - hits[k - 1] > MAX_GAP:
-                run = hits[lo:k]
-                lo = k
-                if len(run) < self.need:
-                    continue
-                cuts = [i for i, at in enumerate(run) if i and words[at] == self.words[0]]
-                for x, y in zip([0, *cuts], [*cuts, len(run)]):
-                    if y - x >= self.need:
-                        yield run[x], run[y - 1] + 1
-                if cuts:  # the template may hold its first word again
-                    yield run[0], run[-1] + 1
-
-
-def scan(templates: list[Template], text: bytes | None) -> tuple | None:
-    """(license, coverage, matched words, start, end) of the best notice in a text, or None.
-
-    Best: most coverage, then most matched words, then the first place, then the name.
+    def runs(self, hits: list[int]) -> list[list[int]]:
+        """``hits`` (places of the template's words), cut where ``MAX_GAP`` is exceeded."""
+        cuts = [k for k in range(1, len(hits)) if hits[k] - hits[k - 1] > MAX_GAP]
+        return [hits[x:y] for x, y in zip([0, *cuts], [*cuts, len(hits)])]
+
+    def notices(self, words: list[bytes], run: list[int]) -> list[tuple]:
+        """(license, coverage, matched words, start, end) of all notices in a run; they may overlap."""
+        cuts = [i for i, at in enumerate(run) if i and words[at] == self.words[0]]
+        out = []
+        for x, y in zip([0, *cuts], [*cuts, len(run)]):
+            out += self._aligned(words, run[x:y])
+        if cuts and (not out or self.words.count(self.words[0]) > 1):  # the first word may be one of the middle
+            out += self._aligned(words, run)
+        return out
+
+    def _aligned(self, words, run) -> list[tuple]:
+        """The notice that a stretch aligns to, and those before and after it."""
+        out, todo = [], [run]
+        while todo:
+            run = todo.pop()
+            if len(run) < self.need:
+                continue
+            lo = run[0]
+            pairs = align(words[lo:run[-1] + 1], self.words)
+            if len(pairs) >= self.need:
+                start, end = lo + pairs[0][0], lo + pairs[-1][0] + 1
+                out.append((self.name, len(pairs) / len(self.words), len(pairs), start, end))
+                todo += [run[:bisect_left(run, start)], run[bisect_left(run, end):]]
+        return out
+
+
+def _rank(notice: tuple) -> tuple:
+    """Best first: most coverage, then most matched words, then the first place, then the name."""
+    name, coverage, matched, start, end = notice
+    return -coverage, -matched, start, name, end
+
+
+def scan(templates: list[Template], text: bytes | None) -> list[tuple]:
+    """(license, coverage, matched words, start, end) of the notices in a text, the best one first.
+
+    No two overlap: of those that do, the best one stays.
     """
     words = words_of(text)
-    best = None
+    found = []
     places: dict[bytes, list[int]] = {}
     wanted = frozenset().union(*(t.vocabulary for t in templates)) if templates else frozenset()
     for i, w in enumerate(words):
@@ -139,37 +161,46 @@ def scan(templates: list[Template], text: bytes | None) -> tuple | None:
         if not t.words or sum(w in places for w in t.words) < t.need:
             continue
         hits = sorted(i for w in t.vocabulary if w in places for i in places[w])
-        for lo, hi in t.regions(words, hits):
-            pairs = align(words[lo:hi], t.words)
-            if len(pairs) >= t.need:
-                start, end = lo + pairs[0][0], lo + pairs[-1][0] + 1
-                rank = (-len(pairs) / len(t.words), -len(pairs), start, t.name)
-                if best is None or rank < best[0]:
-                    best = rank, (t.name, len(pairs) / len(t.words), len(pairs), start, end)
-    return best and best[1]
+        for run in t.runs(hits):
+            if len(run) >= t.need:
+                found += t.notices(words, run)
+    kept: list[tuple] = []
+    taken: list[tuple[int, int]] = []  # sorted places of those kept
+    for notice in sorted(set(found), key=_rank):
+        start, end = notice[3:]
+        at = bisect_left(taken, (start, end))
+        if (at == 0 or taken[at - 1][1] <= start) and (at == len(taken) or taken[at][0] >= end):
+            taken.insert(at, (start, end))
+            kept.append(notice)
+    return kept
 
 
 def scan_licenses(df: DataFrame, text_col: str = "text", templates: dict[str, str] | None = None,
                   min_coverage: float = MIN_COVERAGE) -> DataFrame:
-    """``df`` with license, coverage, n_matched, start and end (word places, end exclusive).
-
-    A row for each row of ``df``.  Texts without a notice of at least
-    ``min_coverage``, null and empty texts have null results.  Templates
-    without words match nothing.  The whole text is scanned.  Columns named
-    like a result column are replaced.
+    """``df`` with license, coverage, n_matched, start, end (word places, end exclusive) and notices.
+
+    A row for each row of ``df``.  ``notices`` has all notices of at least
+    ``min_coverage`` in the order of their places, none overlapping; the other
+    columns are those of the best one.  Texts without a notice, null and empty
+    texts have null results and no notices.  Templates without words match
+    nothing.  The whole text is scanned.  Columns named like a result column
+    are replaced.
     """
     chosen = dict(TEMPLATES if templates is None else templates)
 
     def start():
         own = [Template(n, t, min_coverage) for n, t in sorted(chosen.items())]
         kinds = (pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.int64())
+        one = pa.struct(list(zip(("license", "coverage", "n_matched", "start", "end"), kinds)))
 
         def work(texts):
-            found = [scan(own, t) or (None,) * 5 for t in texts]
-            return [pa.array(c, k) for c, k in zip(zip(*found), kinds)]
+            found = [scan(own, t) for t in texts]
+            best = zip(*(f[0] if f else (None,) * 5 for f in found))
+            every = [[dict(zip(one.names, n)) for n in sorted(f, key=lambda n: n[3])] for f in found]
+            return [*(pa.array(c, k) for c, k in zip(best, kinds)), pa.array(every, pa.list_(one))]
         return work
 
-    return map_text(df, text_col, [
-        T.StructField("license", T.StringType()), T.StructField("coverage", T.DoubleType()),
-        T.StructField("n_matched", T.LongType()), T.StructField("start", T.LongType()),
-        T.StructField("end", T.LongType())], start, as_bytes=True)
+    fields = [T.StructField("license", T.StringType()), T.StructField("coverage", T.DoubleType()),
+              T.StructField("n_matched", T.LongType()), T.StructField("start", T.LongType()),
+              T.StructField("end", T.LongType())]
+    return map_text(df, text_col, [*fields, T.StructField("notices", T.ArrayType(T.StructType(fields)))], start, as_bytes=True)

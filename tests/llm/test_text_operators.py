@@ -237,6 +237,20 @@ def test_license_scan(spark):
     assert licenses.scan_licenses(frame(spark, texts), templates={}).where("license is not null").isEmpty()
 
 
+def test_all_notices_of_a_text(spark):
+    t = licenses.TEMPLATES
+    texts = [t["GPL-3.0"] + " x " * 30 + t["MIT"] + " y " + t["MIT-text"] + " z " + t["GPL-3.0"], t["CC-BY-NC-4.0"],
+             t["GPL-3.0"].replace("work ", "") + " " + t["GPL-3.0"].replace("General ", ""),
+             2 * (t["GPL-3.0"].replace("This ", "") + " "), "none", None]
+    got = {r["doc_id"]: r for r in licenses.scan_licenses(frame(spark, texts)).collect()}
+    see = lambda i: [(n["license"], n["start"], n["end"]) for n in got[i]["notices"]]
+    assert see(0) == [("GPL-3.0", 0, 12), ("MIT", 42, 47), ("MIT-text", 48, 75), ("GPL-3.0", 76, 88)]
+    assert see(1) == [("CC-BY-NC-4.0", 0, 7)]
+    assert see(2) == see(3) == [("GPL-3.0", 0, 11), ("GPL-3.0", 11, 22)]
+    assert see(4) == see(5) == [] and got[4]["license"] is None
+    assert (got[0]["license"], got[0]["start"], got[0]["end"]) == ("MIT-text", 48, 75)
+
+
 # -- Shards ----------------------------------------------------------------------------------
 
 def test_rebalance_moves_whole_slots_until_near_equal():
