@@ -10,8 +10,10 @@ A text may hold several notices, or one notice twice, among much else.  It is
 first cut into regions: stretches in which words of the template follow each
 other with fewer than ``MAX_GAP`` other words between; within a region, each
 word that begins the template opens a place of its own, and what lies before
-and after an aligned notice is aligned again.  A region with too few template
-words to reach the least coverage is not aligned.  Of notices that overlap,
+and after an aligned notice is aligned again.  Neighbouring regions without a
+notice are also aligned together, where the words between them are no more
+than the template has.  A region with too few template words to reach the
+least coverage is not aligned.  Of notices that overlap,
 the best one is kept.
 """
 
@@ -106,6 +108,7 @@ class Template:
     def __init__(self, name: str, text: str, min_coverage: float):
         self.name, self.words = name, words_of(text.encode())
         self.need = max(1, ceil(len(self.words) * min_coverage - 1e-9))
+        self.counts = Counter(self.words)
         self.vocabulary = frozenset(self.words)
 
     def runs(self, hits: list[int]) -> list[list[int]]:
@@ -123,6 +126,39 @@ class Template:
             out += self._aligned(words, run)
         return out
 
+    def across(self, words: list[bytes], runs: list[list[int]], found: list[tuple]) -> list[tuple]:
+        """Notices that longer insertions cut into several runs, from what the ones ``found`` within runs leave.
+
+        The insertions between its runs have as many words as the template at most.
+        """
+        out = []
+        pieces: list[list[int]] = []
+        taken = sorted(n[3:] for n in found)
+        k = 0
+        for run in runs:
+            while k < len(taken) and taken[k][1] <= run[0]:
+                k += 1
+            while run and k < len(taken) and taken[k][0] <= run[-1]:
+                start, end = taken[k]
+                pieces += [run[:bisect_left(run, start)], []]  # no notice goes across another one
+                run = run[bisect_left(run, end):]
+                k += 1
+            if run:
+                pieces.append(run)
+        for i, first in enumerate(pieces):
+            gap, hits = 0, first
+            for j in range(i + 1, len(pieces)):
+                if not first or not pieces[j]:
+                    break
+                gap += pieces[j][0] - hits[-1] - 1
+                if gap > len(self.words):
+                    break
+                hits = hits + pieces[j]
+                for x in (0, *(x for x, at in enumerate(first) if x and words[at] == self.words[0])):
+                    if (self.counts & Counter(words[at] for at in hits[x:])).total() >= self.need:
+                        out += self._aligned(words, hits[x:])
+        return out
+
     def _aligned(self, words, run) -> list[tuple]:
         """The notice that a stretch aligns to, and those before and after it."""
         out, todo = [], [run]
@@ -161,9 +197,9 @@ def scan(templates: list[Template], text: bytes | None) -> list[tuple]:
         if not t.words or sum(w in places for w in t.words) < t.need:
             continue
         hits = sorted(i for w in t.vocabulary if w in places for i in places[w])
-        for run in t.runs(hits):
-            if len(run) >= t.need:
-                found += t.notices(words, run)
+        runs = t.runs(hits)
+        own = [n for run in runs if len(run) >= t.need for n in t.notices(words, run)]
+        found += own + t.across(words, runs, own)
     kept: list[tuple] = []
     taken: list[tuple[int, int]] = []  # sorted places of those kept
     for notice in sorted(set(found), key=_rank):

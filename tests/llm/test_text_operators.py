@@ -251,6 +251,18 @@ def test_all_notices_of_a_text(spark):
     assert (got[0]["license"], got[0]["start"], got[0]["end"]) == ("MIT-text", 48, 75)
 
 
+def test_notice_with_a_long_insertion(spark):
+    bsd = licenses.TEMPLATES["BSD-3-Clause"]
+    cut = bsd.replace("are permitted", "are permitted for academic, teaching, study, research purposes only")
+    far = bsd.replace("are permitted", "are permitted " + "x " * 22)
+    texts = [cut, "y " * 9 + cut + " z" * 9 + " " + bsd, far, bsd + " x" * 8 + " in source and binary forms"]
+    got = {r["doc_id"]: [(n["license"], n["n_matched"], n["start"], n["end"]) for n in r["notices"]]
+           for r in licenses.scan_licenses(frame(spark, texts)).collect()}
+    assert got[0] == [("BSD-3-Clause", 21, 0, 28)]
+    assert got[1] == [("BSD-3-Clause", 21, 9, 37), ("BSD-3-Clause", 21, 46, 67)]
+    assert got[2] == [] and got[3] == [("BSD-3-Clause", 21, 0, 21)]
+
+
 # -- Shards ----------------------------------------------------------------------------------
 
 def test_rebalance_moves_whole_slots_until_near_equal():
