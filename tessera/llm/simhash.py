@@ -259,11 +259,13 @@ def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     Columns are those of ``df``.
     """
     rows, groups = near_duplicates(df, id_col, text_col, **how)
-    first = rows.join(groups, "fp").where(F.col("id").eqNullSafe(F.col("component_id")))
-    kept = materialize(first.groupBy("id", "root").count(), "simhash-kept")
-    marked = df.join(kept.where("id is not null and count = 1").select(F.col("id").alias("_kept")),
+    first = rows.join(groups, "fp").where(F.col("id").eqNullSafe(F.col("component_id"))).select("id", "root").distinct()
+    # an id of one row names that row; a repeated one may be in several groups
+    again = rows.groupBy("id").count().where("count > 1").select("id", F.lit(True).alias("again"))
+    kept = materialize(first.join(again, "id", "left"), "simhash-kept")
+    marked = df.join(kept.where("id is not null and again is null").select(F.col("id").alias("_kept")),
                      df[f"`{id_col}`"] == F.col("_kept"), "left_semi")
-    shared = kept.where("id is null or count > 1")
+    shared = kept.where("id is null or again")
     if shared.isEmpty():
         return marked
     again = with_fingerprint(df, text_col, "_fp").join(

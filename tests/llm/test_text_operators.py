@@ -103,6 +103,13 @@ def test_near_duplicates_and_keep_first(spark):
     assert simhash.keep_first(df.limit(0)).count() == 0
 
 
+def test_keep_first_with_ids_in_several_groups(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(300)) for x in "ab")
+    for rows, want in ([(5, a), (3, b), (5, b)], [(3, b), (5, a)]), ([(5, a), (5, a), (5, b)], [(5, a), (5, b)]):
+        kept = simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string"))
+        assert sorted(map(tuple, kept.collect())) == want
+
+
 # -- Decontamination -------------------------------------------------------------------------
 
 def brute_contamination(texts, items, window=13):
