@@ -32,7 +32,7 @@ from .common import map_text
 MIN_COVERAGE = 0.8
 MAX_GAP = 6
 
-#: Notices to look for: fixed values, as their licenses state them.
+#: Short notices, as texts refer to their licenses.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
     "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, "
@@ -46,6 +46,48 @@ TEMPLATES = {
                 "and associated documentation files, to deal in the Software without restriction",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
 }
+_GNU = ("This {0} is free software: you can redistribute it and/or modify it under the terms of the GNU {1}General "
+        "Public License as published by the Free Software Foundation, either version {2} of the License, or (at your "
+        "option) any later version.")
+_CC = "This work is licensed under a Creative Commons {} 4.0 International License"
+#: Standard headers and short license texts, as the licenses state them.  Some are here so
+#: that no sibling is taken for them (GPL-2.0 differs from GPL-3.0 by one word).
+HEADERS = {
+    "AGPL-3.0": [_GNU.format("program", "Affero ", "3")],
+    "Apache-2.0": [
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance '
+        "with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless "
+        "required by applicable law or agreed to in writing, software distributed under the License is distributed on an "
+        '"AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the '
+        "specific language governing permissions and limitations under the License."],
+    "BSD-3-Clause": [
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list "
+        "of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+        "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+        "with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to "
+        "endorse or promote products derived from this software without specific prior written permission."],
+    "CC-BY-4.0": [_CC.format("Attribution")],
+    "CC-BY-NC-4.0": [_CC.format("Attribution-NonCommercial")],
+    "CC-BY-SA-4.0": [_CC.format("Attribution-ShareAlike")],
+    "GPL-2.0": [_GNU.format("program", "", "2")],
+    "GPL-3.0": [_GNU.format("program", "", "3")],
+    "LGPL-2.1": [_GNU.format("library", "Lesser ", "2.1")],
+    "LGPL-3.0": [_GNU.format(w, "Lesser ", "3") for w in ("program", "library")],
+    "MIT-text": [
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        'documentation files (the "Software"), to deal in the Software without restriction, including without limitation the '
+        "rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to "
+        "permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright "
+        "notice and this permission notice shall be included in all copies or substantial portions of the Software. THE "
+        'SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE '
+        "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS "
+        "OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+        "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."],
+    "MPL-2.0": [
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."],
+}
 _SPLIT = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32
                for c in range(256))
 
@@ -222,10 +264,12 @@ def scan_licenses(df: DataFrame, text_col: str = "text", templates: dict[str, st
     nothing.  The whole text is scanned.  Columns named like a result column
     are replaced.
     """
-    chosen = dict(TEMPLATES if templates is None else templates)
+    chosen = list((TEMPLATES if templates is None else templates).items())
+    if templates is None:
+        chosen += [(n, t) for n, texts in HEADERS.items() for t in texts]
 
     def start():
-        own = [Template(n, t, min_coverage) for n, t in sorted(chosen.items())]
+        own = [Template(n, t, min_coverage) for n, t in sorted(chosen)]
         kinds = (pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.int64())
         one = pa.struct(list(zip(("license", "coverage", "n_matched", "start", "end"), kinds)))
 

@@ -270,6 +270,17 @@ def test_notice_with_a_long_insertion(spark):
     assert got[2] == [] and got[3] == [("BSD-3-Clause", 21, 0, 21)]
 
 
+def test_standard_headers(spark):
+    gnu = ("/* This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General "
+           "Public License as published by\n * the Free Software Foundation, either version {} of the License, or\n"
+           " * (at your option) any later version. */")
+    texts = [gnu.format(3), gnu.format(2), gnu.format(3).replace("GNU", "GNU Affero"),
+             gnu.format(3).replace("GNU", "GNU Lesser"), *(t for texts in licenses.HEADERS.values() for t in texts)]
+    want = ["GPL-3.0", "GPL-2.0", "AGPL-3.0", "LGPL-3.0", *(n for n, texts in licenses.HEADERS.items() for _ in texts)]
+    got = {r["doc_id"]: (r["license"], r["coverage"]) for r in licenses.scan_licenses(frame(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == [(n, 1.0) for n in want]
+
+
 # -- Shards ----------------------------------------------------------------------------------
 
 def test_rebalance_moves_whole_slots_until_near_equal():
