@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, covertree, langid, licenses, oracle, pieces, shards, simhash, suffix_tree, toolcalls, warc
+from . import (
+    codes, contamination, covertree, langid, licenses, mixing, oracle, pieces, shards, simhash, suffix_tree, toolcalls,
+    turns, warc,
+)
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -103,8 +106,45 @@ def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "level", F.array_join("errors", ",").alias("errors"), "message")
 
 
+def damaged_turns(df: DataFrame) -> DataFrame:
+    """The turns with one fault in four or so, by the remainder of crc32(``conv_id:turn``); nulls are one space."""
+    space = F.lit(" ")
+    at = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    fault = F.crc32(F.encode(at, "UTF-8")) % 20
+    text = F.coalesce("text", space)
+    return df.select(
+        "conv_id", "turn", F.when(fault == 4, "user").otherwise(F.coalesce("role", space)).alias("role"),
+        F.when(fault == 1, "").when(fault == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.explode(F.array_repeat(F.lit(0), F.when(fault == 0, 0).when(fault == 3, 2).otherwise(1))).alias("_")).drop("_")
+
+
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    report, repaired = turns.repair(damaged_turns(given))
+    # one row a conversation from each; grouping takes a null conversation like any other
+    parts = given.select(F.col("conv_id").alias("conv")).distinct()
+    for part in (report, turns.digests(repaired)):
+        parts = parts.unionByName(part, allowMissingColumns=True)
+    count = lambda c: F.coalesce(F.max(c), F.lit(0)).alias(c)
+    return parts.groupBy(F.col("conv").alias("conv_id")).agg(
+        *[count(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
+        F.coalesce(F.max("audit"), F.lit("")).alias("audit"),
+        F.coalesce(F.max("sha256"), F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = codes.compress(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def op13_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.words("text").alias("size"))
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
 REGISTRY = {f.__name__: f for f in (
-    op1_licenses, op2_virtual_slots, op3_pieces, op4_contamination, op5_language, op6_warc, op7_cover_tree, op8_suffix_tree, op9_simhash, op10_tool_calls)}
+    op1_licenses, op2_virtual_slots, op3_pieces, op4_contamination, op5_language, op6_warc, op7_cover_tree, op8_suffix_tree, op9_simhash, op10_tool_calls,
+    op11_turn_repair, op12_vector_codes, op13_fair_mix)}
 
 #: DuckDB SQL of the queries that SQL can express.
 SQL: dict[str, str] = oracle.SQL
