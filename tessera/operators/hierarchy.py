@@ -1,18 +1,37 @@
-"""Hierarchy walk: every node's path up to its root, as a recursive CTE.
+"""Hierarchy walk: every node's path up to its root, by path doubling.
 
-The walk is Spark SQL's ``WITH RECURSIVE``: one distributed join per level and
-no collect.  It goes on until no parent is left, however deep the tree is;
-each row carries the nodes it has visited, and a cycle raises.  Each (node,
-ancestor) pair is produced once; the caller joins the finished paths to its
-fact rows instead of walking per fact row.
+Round k knows each node's ancestor 2**k levels up; joined with itself that is
+the ancestor 2**(k+1) levels up.  A tree of depth d takes log2(d) + 1 rounds
+of one join of a row a node, however deep it is, and no row carries the nodes
+it has visited: a node that has an ancestor further up than there are nodes is
+on a cycle or below one.  The pairs (node, ancestor) are put together from the
+same jumps, each pair once; the caller joins the finished paths to its fact
+rows instead of walking per fact row.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-# Spark bounds a recursive query by its levels and rows; a walk is bounded by its tree.
-UNLIMITED = {"spark.sql.cteRecursionLevelLimit": "-1", "spark.sql.cteRecursionRowLimit": "-1"}
+from ..session import ensure_checkpoint_dir
+
+
+def jumps(parents: DataFrame, n_nodes: int) -> list[DataFrame]:
+    """[(node, up)]: for k = 0, 1, ... each node's ancestor 2**k levels up, until no node has one.
+
+    ``parents`` is (node, up) of the direct parents.  Each round is kept in
+    the checkpoint folder.  A cycle raises a ValueError that names a node.
+    """
+    out: list[DataFrame] = []
+    now = parents.checkpoint()
+    while (some := now.first()) is not None:
+        if 2 ** len(out) > n_nodes:
+            raise ValueError(f"cycle in the hierarchy at or above {some['node']}")
+        out.append(now)
+        further = now.select(F.col("node").alias("up"), F.col("up").alias("_up"))
+        now = now.join(further, "up").select("node", F.col("_up").alias("up")).checkpoint()
+    return out
 
 
 def walk_to_root(spark: SparkSession, nodes: DataFrame, id_col: str = "category_id",
@@ -20,23 +39,20 @@ def walk_to_root(spark: SparkSession, nodes: DataFrame, id_col: str = "category_
     """(node_id, ancestor_id, ancestor_name, depth) for every node and each ancestor.
 
     depth 0 is the node itself, depth 1 its parent, and so on up to the root
-    (a node with NULL or unknown parent).  A cycle fails the query.  Sets the
-    session's recursion limits to none.
-    """
-    for key, value in UNLIMITED.items():
-        spark.conf.set(key, value)
-    q = f"""
-    WITH RECURSIVE walk(node_id, ancestor_id, depth, visited) AS (
-        SELECT {id_col}, {id_col}, 0, array({id_col}) FROM {{nodes}}
-        UNION ALL
-        SELECT w.node_id,
-               IF(array_contains(w.visited, n.{parent_col}),
-                  raise_error(concat('cycle in the hierarchy at ', n.{parent_col})), n.{parent_col}),
-               w.depth + 1, array_append(w.visited, n.{parent_col})
-        FROM walk w JOIN {{nodes}} n ON n.{id_col} = w.ancestor_id
-        WHERE n.{parent_col} IS NOT NULL
-    )
-    SELECT w.node_id, w.ancestor_id, a.{name_col} AS ancestor_name, w.depth
-    FROM walk w JOIN {{nodes}} a ON a.{id_col} = w.ancestor_id
+    (a node with NULL or unknown parent).  A cycle raises before any pair is
+    made.  Repeated rows count once, a node without an id has no path.
     """
-    return spark.sql(q, nodes=nodes.select(id_col, parent_col, name_col))
+    ensure_checkpoint_dir(spark)
+    own = nodes.select(F.col(id_col).alias("node"), F.col(parent_col).alias("up"), F.col(name_col).alias("name"))
+    own = own.filter(F.col("node").isNotNull()).distinct().checkpoint()
+    known = own.select(F.col("node").alias("up")).distinct()
+    steps = jumps(own.select("node", "up").distinct().join(known, "up", "left_semi").select("node", "up"), own.count())
+    walk = known.select(F.col("up").alias("node_id"), F.col("up").alias("ancestor_id"), F.lit(0).alias("depth"))
+    for k, step in enumerate(steps):
+        if k > 1:  # each round reads the walk twice: cut the plan before it doubles further
+            walk = walk.checkpoint()
+        above = step.join(walk, F.col("up") == F.col("node_id")).select(
+            F.col("node").alias("node_id"), "ancestor_id", (F.col("depth") + 2 ** k).alias("depth"))
+        walk = walk.unionByName(above)
+    named = own.select(F.col("node").alias("ancestor_id"), F.col("name").alias("ancestor_name"))
+    return walk.join(named, "ancestor_id").select("node_id", "ancestor_id", "ancestor_name", "depth")

@@ -174,8 +174,8 @@ def _variant_value() -> Column:
     return F.expr(f"named_struct('attributes', named_struct({', '.join(base + piv)}))")
 
 
-def variants(st: Stages, sets: DataFrame) -> DataFrame:
-    rows = variant_rows(st, sets)
+def variants(rows: DataFrame) -> DataFrame:
+    """(set_id, variants) from ``variant_rows``; rows clustered by set are not moved."""
     return keyed_object(rows, ["set_id"], "variation_group", ["product_id"], _variant_value(),
                         "variants", unique=True)
 
@@ -223,10 +223,9 @@ def views(st: Stages, sets: DataFrame) -> DataFrame:
 
 # -- documents ---------------------------------------------------------------------------------
 
-def feed_documents(st: Stages, sets: DataFrame, brand_label: Column) -> DataFrame:
-    """(set_id, doc) with doc the JSON text of the set's ``add`` operation; ``sets`` is ``published``."""
-    j = (headers(st, sets, brand_label).join(variants(st, sets), "set_id", "left")
-         .join(views(st, sets), "set_id", "left"))
+def documents(headers: DataFrame, variants: DataFrame, views: DataFrame) -> DataFrame:
+    """(set_id, doc) with doc the JSON text of the set's ``add`` operation."""
+    j = headers.join(variants, "set_id", "left").join(views, "set_id", "left")
     value = F.struct(F.col("attributes"), nonempty(F.col("variants")).alias("variants"),
                      nonempty(F.col("views")).alias("views"))
     doc = F.struct(F.lit("add").alias("op"), product_path("set_id").alias("path"),

@@ -1,25 +1,29 @@
 """The feed job: parameters in, JSON Lines out, failures logged and re-raised.
 
 ``run_feed(spark, sf_dir, out_dir, brand_code=..., as_of=...)`` is the
-batch entry point.  The staged relations that several branches read (the
-product rollup and the published sets) are written once with a reliable
-``checkpoint()`` into the session's shared checkpoint folder: a lost executor
-costs a stage, not the job, and the branches' plans start from them.  Nothing
-is cached on executors.
+batch entry point.  Inputs are first reduced to what the published sets need
+(``plans.reduce``).  What several branches read is staged in a database of the
+run (``plans.staging``); headers, variant rows and views are staged too, clustered
+by set, so the documents are put together without moving a row.  Nothing is
+cached on executors, and the database is gone when the run ends.
 """
 
 from __future__ import annotations
 
 import sys
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
 from ..sources.catalog import Catalog
 from ..sources.sinks import append_error, write_jsonl
-from .feed import feed_documents, published
+from ..sources.tables import NamedTables
+from .feed import documents, headers, published, variant_rows, variants, views
+from .reduce import ReducedStages
 from .stages import Stages
+from .staging import Staging
+
 
 def brand_lookup(catalog: Catalog, brand_code: str) -> DataFrame:
     """Brands carrying a brand code (the parameter lookup)."""
@@ -32,27 +36,41 @@ def brand_name_of(catalog: Catalog, brand_code: str) -> Column:
     return F.coalesce(name, F.lit(brand_code))
 
 
-def build_feed(spark: SparkSession, sf_dir: str, brand_code: str = "r1",
+def stage_documents(spark: SparkSession, source: str | NamedTables, store: Staging, brand_code: str = "r1",
+                    as_of: str = "2024-01-15", brand_label: str | None = None,
+                    dedupe_products: bool = True) -> DataFrame:
+    """The documents, from tables staged in ``store``."""
+    st = ReducedStages(Stages(Catalog(spark, source), as_of=as_of, brand_code=brand_code), store)
+    sets = store.table("published", published(st, dedupe_products), by="set_id")
+    label = F.lit(brand_label) if brand_label else brand_name_of(st.cat, brand_code)
+    parts = {"headers": lambda: headers(st, sets, label), "variants": lambda: variant_rows(st, sets), "views": lambda: views(st, sets)}
+
+    def stage(name: str) -> DataFrame:
+        return store.table(name, parts[name](), by="set_id")
+
+    with ThreadPoolExecutor(len(parts)) as pool:  # three jobs that need nothing of each other
+        header, rows, view = pool.map(stage, parts)
+    return documents(header, variants(rows), view)
+
+
+def build_feed(spark: SparkSession, source: str | NamedTables, brand_code: str = "r1",
                as_of: str = "2024-01-15", brand_label: str | None = None,
                dedupe_products: bool = True) -> DataFrame:
-    """The documents, from staged relations in the checkpoint folder."""
-    ensure_checkpoint_dir(spark)
-    st = Stages(Catalog(spark, sf_dir), as_of=as_of, brand_code=brand_code)
-    st.__dict__["products"] = st.products.checkpoint()
-    sets = published(st, dedupe_products).checkpoint()
-    label = F.lit(brand_label) if brand_label else brand_name_of(st.cat, brand_code)
-    return feed_documents(st, sets, label)
+    """(set_id, doc), kept in the checkpoint folder; the staged tables are dropped."""
+    with Staging(spark) as store:
+        return stage_documents(spark, source, store, brand_code, as_of, brand_label, dedupe_products).checkpoint()
 
 
-def run_feed(spark: SparkSession, sf_dir: str, out_dir: str, brand_code: str = "r1",
+def run_feed(spark: SparkSession, source: str | NamedTables, out_dir: str, brand_code: str = "r1",
              as_of: str = "2024-01-15", brand_label: str | None = None,
              error_log: str | None = None, partitions: int | None = None) -> None:
     """Build and write the feed; on failure append to ``error_log`` and re-raise."""
     try:
-        docs = build_feed(spark, sf_dir, brand_code, as_of, brand_label)
-        if partitions:
-            docs = docs.repartition(partitions, "set_id")
-        write_jsonl(docs, out_dir)
+        with Staging(spark) as store:
+            docs = stage_documents(spark, source, store, brand_code, as_of, brand_label)
+            if partitions:
+                docs = docs.repartition(partitions, "set_id")
+            write_jsonl(docs, out_dir)
     except Exception as exc:
         if error_log:
             try:

@@ -127,7 +127,9 @@ class Stages:
             F.min(F.when(stocked, F.col("was_price"))).alias("was_low"),
             F.max(F.when(stocked, F.col("max_active"))).alias("sale_high"),
             F.min(F.when(stocked, F.col("min_active"))).alias("sale_low"),
-            F.sum(F.when(stocked, F.col("quantity") * F.col("n_active"))).alias("qty_stocked"))
+            F.sum(F.when(stocked, F.col("quantity") * F.col("n_active"))).alias("qty_stocked"),
+            F.sum(F.when(F.col("size_status") == 1, units)).alias("stock_sizes"),
+            F.count(F.when(F.col("size_status") == 1, 1)).alias("n_sizes"))
 
     # -- leg gates ------------------------------------------------------------------
     @cached_property

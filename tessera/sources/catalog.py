@@ -26,7 +26,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import read_table
+from .tables import NamedTables, read_table
 
 DEC2 = "decimal(10,2)"
 SIZE_KEY = ["product_id", "color_id", "size_no"]
@@ -50,14 +50,16 @@ def _s(c) -> F.Column:
 
 
 class Catalog:
-    """Lazy source relations over one scale-factor directory."""
+    """Lazy source relations over one folder of tables, or over named tables (``NamedTables``)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, source: str | NamedTables):
         self.spark = spark
-        self.sf_dir = sf_dir
+        self.source = source
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.sf_dir, name)
+        if isinstance(self.source, NamedTables):
+            return self.source.read(self.spark, name)
+        return read_table(self.spark, self.source, name)
 
     # -- raw tables -------------------------------------------------------
     @cached_property
@@ -188,9 +190,11 @@ class Catalog:
 
     @cached_property
     def style(self) -> DataFrame:
-        return (self.lineitem.select(*self._line_keys()[:2]).distinct()
-                .select("product_id", "color_id", self._style_status().alias("status"),
-                        F.concat(F.lit("MF"), _s(F.col("color_id") % 11)).alias("mf_item_id")))
+        return self._styles(self.lineitem.select(*self._line_keys()[:2]).distinct())
+
+    def _styles(self, keys: DataFrame) -> DataFrame:
+        return keys.select("product_id", "color_id", self._style_status().alias("status"),
+                           F.concat(F.lit("MF"), _s(F.col("color_id") % 11)).alias("mf_item_id"))
 
     @cached_property
     def size(self) -> DataFrame:
@@ -293,11 +297,14 @@ class Catalog:
     @cached_property
     def set_category(self) -> DataFrame:
         """Category rows whose product is a set."""
-        g = self.line_geo
-        top = F.max(F.when(F.col("l_linenumber") == 1, 1).otherwise(0))
-        return (g.groupBy("l_orderkey", "n_regionkey", "n_nationkey").agg(
+        return self._set_categories(self.line_geo, "l_orderkey", "l_linenumber")
+
+    @staticmethod
+    def _set_categories(rows: DataFrame, set_col: str, leg_col: str) -> DataFrame:
+        top = F.max(F.when(F.col(leg_col) == 1, 1).otherwise(0))
+        return (rows.groupBy(set_col, "n_regionkey", "n_nationkey").agg(
             F.when(top == 1, "true").otherwise("").alias("primary_category"))
-            .select(F.col("l_orderkey").alias("set_id"),
+            .select(F.col(set_col).alias("set_id"),
                     F.concat(F.lit("r"), _s("n_regionkey")).alias("site_id"),
                     F.concat(F.lit("n"), _s("n_nationkey")).alias("category_id"),
                     "primary_category"))

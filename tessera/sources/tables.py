@@ -7,7 +7,10 @@ scan (``ReadSchema``), so the full width here costs nothing.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 SCHEMAS: dict[str, str] = {
     "region": "r_regionkey int, r_name string",
@@ -32,3 +35,44 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     schema = SCHEMAS.get(name)
     reader = spark.read.schema(schema) if schema else spark.read
     return reader.parquet(path)
+
+
+class NamedTables:
+    """Tables by name, of one or more databases, instead of a folder of files.
+
+    ``NamedTables("catalog", {"events": "reviews.events"})`` reads ``events``
+    of the database ``reviews`` and every other table of ``catalog``.
+    """
+
+    def __init__(self, database: str, elsewhere: dict[str, str] | None = None):
+        self.database = database
+        self.elsewhere = dict(elsewhere or {})
+
+    def name(self, table: str) -> str:
+        return self.elsewhere.get(table, f"{self.database}.{table}")
+
+    def read(self, spark: SparkSession, table: str) -> DataFrame:
+        """The declared columns of the table; a ValueError names those that it lacks or has with another type."""
+        df = spark.table(self.name(table))
+        if table not in SCHEMAS:
+            return df
+        declared = T.StructType.fromDDL(SCHEMAS[table])
+        found = {f.name.lower(): f.dataType for f in df.schema.fields}
+        wrong = [f"{f.name} ({f.dataType.simpleString()}, found {found[f.name].simpleString() if f.name in found else 'none'})"
+                 for f in declared.fields if found.get(f.name) != f.dataType]
+        if wrong:
+            raise ValueError(f"table {self.name(table)} differs from its declaration: {', '.join(wrong)}")
+        return df.select(*declared.fieldNames())
+
+
+def register_folder(spark: SparkSession, folder: str, database: str, tables: Iterable[str]) -> None:
+    """Register Parquet files of a folder as external tables of a database (made where it is missing).
+
+    Columns are declared where the library declares them and read from the
+    files otherwise.  Dropping such a table leaves its files.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for table in tables:
+        path = f"{folder.rstrip('/')}/{table}.parquet"
+        columns = SCHEMAS.get(table) or spark.read.parquet(path).schema.toDDL()
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{table} ({columns}) USING parquet LOCATION '{path}'")

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from tessera.plans import oracle, oracle_catalog
 from tessera.plans.compare import compare, duck
 from tessera.plans.context import stages_for
-from tessera.plans.feed import EMPTY_SET_KEYS, published, variants, views
-from tessera.plans.job import build_feed, run_feed
+from tessera.plans.feed import EMPTY_SET_KEYS, published, variant_rows, variants, views
+from tessera.plans.job import build_feed, run_feed, stage_documents
 from tessera.plans.oracle import SQL
+from tessera.plans.staging import Staging
 from tessera.plans.stages import OUTPUT_KEY_RENAMES
 from tessera.sources.catalog import PIVOT_NAMES
 from tessera.sources.sinks import append_error
@@ -123,9 +124,10 @@ def test_children_are_built_for_published_sets_only(spark, sf_small, docs):
     sets = published(st).checkpoint()
     assert sets.count() == len(docs)
     ids = {r.set_id for r in docs}
-    for child in (variants(st, sets), views(st, sets)):
+    rows = variant_rows(st, sets)
+    for child in (variants(rows), views(st, sets)):
         assert {r.set_id for r in child.select("set_id").collect()} <= ids
-    assert "LeftSemi" in variants(st, sets)._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in rows._jdf.queryExecution().executedPlan().toString()
 
 
 def test_every_pivoted_attribute_has_values_of_each_kind(spark, sf_small):
@@ -160,3 +162,64 @@ def test_the_oracle_holds_its_own_lists():
     assert "from .feed" not in source and "from .stages" not in source and "sources.catalog import" not in source
     assert tuple(oracle_catalog.ATTRIBUTE_NAMES) == PIVOT_NAMES and tuple(oracle.EMPTY_KEYS) == EMPTY_SET_KEYS
     assert oracle.RENAMED == OUTPUT_KEY_RENAMES
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def staged(spark, sf_small):
+    """Each staged relation's plan and columns, the documents' plan, and the tables while they are there."""
+    plans, tables, write = {}, {}, Staging.table
+
+    def noted(self, name, df, by=None):
+        plans[name] = _plan(df)
+        tables[name] = write(self, name, df, by)
+        return tables[name]
+
+    with pytest.MonkeyPatch.context() as m, Staging(spark) as store:
+        m.setattr(Staging, "table", noted)
+        docs = stage_documents(spark, sf_small, store)
+        old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as where the tables are large
+        last, n = _plan(docs.select("*")), docs.count()
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        rows = {name: [r.asDict() for r in t.collect()] for name, t in tables.items() if name in ("legs", "products", "kept_sets", "published")}
+        yield plans, rows, last, n
+
+
+def test_staged_rows_are_those_of_gated_sellable_sets(spark, sf_small, staged, docs):
+    _, rows, _, n = staged
+    st = stages_for(spark, sf_small)
+    header = st.cat.set_header.filter("searchable_flag = 1 and online_flag = 1 and available_flag = 1")
+    want = {r.set_id for r in st.gated_sets.join(header, "set_id").select("set_id").collect()}
+    assert {r["set_id"] for r in rows["kept_sets"]} == want and len(want) < st.cat.legs.select("set_id").distinct().count() / 2
+    assert {r["set_id"] for r in rows["products"]} <= want and {r["set_id"] for r in rows["legs"]} == want
+    full = st.products.filter(F.col("set_id").isin(list(want))).collect()
+    key = lambda r: sorted((k, str(v)) for k, v in r.items())
+    assert sorted(map(key, rows["products"])) == sorted(key(r.asDict()) for r in full)
+    assert n == len(docs) == len(rows["published"])
+
+
+def test_the_whole_job_scans_the_lines_at_most_six_times(staged):
+    plans, _, last, _ = staged
+    assert sum(p.count("lineitem.parquet") for p in [*plans.values(), last]) <= 6
+    assert all("LeftSemi" in plans[name] for name in ("kept_sets", "legs", "variants", "views"))
+
+
+def test_documents_are_put_together_without_moving_a_row(staged):
+    plans, _, last, _ = staged
+    assert "Exchange" not in last and last.count("FileScan") == 3 and last.count("Bucketed: true") == 3
+    assert "Exchange" in plans["variants"]
+
+
+def test_staged_tables_are_dropped(spark, sf_small, tmp_path):
+    before = {d.name for d in spark.catalog.listDatabases()}
+    run_feed(spark, sf_small, str(tmp_path / "out"))
+    assert build_feed(spark, sf_small).count() > 0
+    assert {d.name for d in spark.catalog.listDatabases()} == before
+    with pytest.raises(ValueError), Staging(spark) as store:
+        store.table("t", spark.range(3), by="id")
+        raise ValueError
+    assert {d.name for d in spark.catalog.listDatabases()} == before

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators.aggregates import eav_pivot, string_agg
-from tessera.operators.hierarchy import walk_to_root
+from tessera.operators.hierarchy import jumps, walk_to_root
 from tessera.operators.joins import exists_in, fallback_lookup, left_join_on, top1_per_key
 from tessera.operators.nested import collect_ordered, keyed_object, nonempty
 
@@ -120,3 +120,28 @@ def test_walk_beyond_a_million_pairs(spark):
     flat = spark.range(600_000).select(F.col("id").cast("string").alias("category_id"),
                                        F.when(F.col("id") > 0, "0").alias("parent_id"), F.lit("x").alias("display_name"))
     assert walk_to_root(spark, flat).count() == 2 * 600_000 - 1
+
+
+def test_walk_of_a_long_chain_takes_few_rounds_and_no_session_setting(spark):
+    before = {r.key: r.value for r in spark.sql("SET").collect()}
+    chain = [(f"n{i}", f"n{i - 1}" if i else None) for i in range(1000)]
+    steps = jumps(_nodes(spark, chain).filter("parent_id is not null").select(
+        F.col("category_id").alias("node"), F.col("parent_id").alias("up")), 1000)
+    assert len(steps) == 10 and [s.count() for s in steps[:3]] == [999, 998, 996]
+    walk = walk_to_root(spark, _nodes(spark, chain))
+    got = walk.filter("node_id = 'n999'").agg(F.count("*"), F.max("depth"), F.countDistinct("ancestor_id")).first()
+    assert tuple(got) == (1000, 999, 1000)
+    assert {r.key: r.value for r in spark.sql("SET").collect()} == before
+
+
+def test_walk_of_odd_nodes(spark):
+    rows = [("a", None, "A"), ("a", None, "A"), ("b", "nowhere", "B"), ("c", "b", None), (None, "a", "N"), ("d", "c", "D")]
+    walk = walk_to_root(spark, spark.createDataFrame(rows, "category_id string, parent_id string, display_name string"))
+    got = sorted((r.node_id, r.depth, r.ancestor_id, r.ancestor_name or "") for r in walk.collect())
+    assert got == [("a", 0, "a", "A"), ("b", 0, "b", "B"), ("c", 0, "c", ""), ("c", 1, "b", "B"),
+                   ("d", 0, "d", "D"), ("d", 1, "c", ""), ("d", 2, "b", "B")]
+    empty = spark.createDataFrame([], "category_id string, parent_id string, display_name string")
+    assert walk_to_root(spark, empty).count() == 0
+    for loop in ([("x", "x")], [("r", None), ("x", "y"), ("y", "z"), ("z", "x")]):
+        with pytest.raises(ValueError, match="cycle in the hierarchy"):
+            walk_to_root(spark, _nodes(spark, loop))
