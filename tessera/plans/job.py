@@ -25,22 +25,31 @@ from .stages import Stages
 from .staging import Staging
 
 
+#: Length of the brand code parameter; what is longer is cut, as by the source's declaration.
+BRAND_CODE_CHARS = 2
+
+
+def brand_parameter(code: str) -> str:
+    return code[:BRAND_CODE_CHARS]
+
+
 def brand_lookup(catalog: Catalog, brand_code: str) -> DataFrame:
-    """Brands carrying a brand code (the parameter lookup)."""
-    return catalog.brand.filter(F.col("brand_code") == brand_code).select("brand_id", "brand_name")
+    """Brands carrying a brand code (the parameter lookup); the code is a bound parameter of the SQL text."""
+    return catalog.spark.sql("SELECT brand_id, brand_name FROM {brand} WHERE brand_code = :code",
+                             args={"code": brand_parameter(brand_code)}, brand=catalog.brand)
 
 
 def brand_name_of(catalog: Catalog, brand_code: str) -> Column:
     """The smallest name carrying a brand code, as a scalar subquery; the code where there is none."""
     name = brand_lookup(catalog, brand_code).agg(F.min("brand_name").alias("n")).scalar()
-    return F.coalesce(name, F.lit(brand_code))
+    return F.coalesce(name, F.lit(brand_parameter(brand_code)))
 
 
 def stage_documents(spark: SparkSession, source: str | NamedTables, store: Staging, brand_code: str = "r1",
                     as_of: str = "2024-01-15", brand_label: str | None = None,
                     dedupe_products: bool = True) -> DataFrame:
     """The documents, from tables staged in ``store``."""
-    st = ReducedStages(Stages(Catalog(spark, source), as_of=as_of, brand_code=brand_code), store)
+    st = ReducedStages(Stages(Catalog(spark, source), as_of=as_of, brand_code=brand_parameter(brand_code)), store)
     sets = store.table("published", published(st, dedupe_products), by="set_id")
     label = F.lit(brand_label) if brand_label else brand_name_of(st.cat, brand_code)
     parts = {"headers": lambda: headers(st, sets, label), "variants": lambda: variant_rows(st, sets), "views": lambda: views(st, sets)}

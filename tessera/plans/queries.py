@@ -176,6 +176,27 @@ def collated_match(spark, sf_dir):
                     (F.collate(F.col("category_id"), "UTF8_LCASE") == "R1").alias("ci_match"))
 
 
+@query("collated_join")
+def collated_join_q(spark, sf_dir):
+    """Products of the storefront with the brand whose name is theirs in another case (a case-insensitive key)."""
+    from ..operators.collation import ANY_CASE, collated_join
+    cat = _st(spark, sf_dir).cat
+    brand = cat.brand.select(F.col("brand_name").alias("site_brand"), "brand_id", "brand_code")
+    return collated_join(cat.site_product, brand, ["site_brand"], ANY_CASE).select(
+        "product_id", F.collate("site_brand", "UTF8_BINARY").alias("site_brand"), "brand_id", "brand_code")
+
+
+@query("collated_group")
+def collated_group(spark, sf_dir):
+    """Category rows by site and primary flag, whatever their case and the blanks at their end."""
+    from ..operators.collation import ANY_CASE_PADDED, one_spelling, with_collation
+    rows = _st(spark, sf_dir).cat.category_product.withColumn(
+        "site_id", F.when(F.col("product_id") % 2 == 0, F.upper("site_id")).otherwise(F.concat("site_id", F.lit("  "))))
+    keys = ["site_id", "primary_category"]
+    n = with_collation(rows, ANY_CASE_PADDED, *keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+    return one_spelling(n, *keys)
+
+
 # -- dates ------------------------------------------------------------------------------------
 
 @query("clean_dates")
@@ -184,6 +205,21 @@ def clean_dates(spark, sf_dir):
     return _st(spark, sf_dir).categories.select("category_id", "online_from", "online_to")
 
 
+@query("date_shapes")
+def date_shapes(spark, sf_dir):
+    """Order dates written in a dozen layouts, some of them no dates, and read back."""
+    from ..functions.dates import parse_date_text
+    o = _st(spark, sf_dir).cat.orders.select(
+        F.col("o_orderkey").alias("set_id"), (F.col("o_orderdate") + F.make_dt_interval(
+            F.lit(0), (F.col("o_orderkey") % 24).cast("int"), (F.col("o_orderkey") % 60).cast("int"))).alias("at"))
+    layouts = ["yyyy/MM/dd", "MM-dd-yyyy", "yyyyMMdd HH:mm", "M/d/yyyy h:mm a", "yyyy.MM.dd HH:mm:ss", "MMM d yyyy h:mma",
+               "d MMMM yyyy HH:mm", "yyyy-MM-dd'T'HH:mm:ss.SSS", "MMMM d, yyyy", "yyyy", "'on' yyyy-MM-dd", "yyyy-MM-dd 25:mm"]
+    layout = F.col("set_id") % len(layouts)
+    text = F.coalesce(*[F.when(layout == i, F.date_format("at", x)) for i, x in enumerate(layouts)])
+    parsed = o.select("set_id", text.alias("text"), parse_date_text(text).alias("t"))
+    return parsed.select("set_id", "text", F.date_format("t", "yyyy-MM-dd HH:mm:ss").alias("parsed"))
+
+
 @query("online_interval")
 def online_interval(spark, sf_dir):
     """Visible, online categories valid at the run date's next midnight."""
@@ -285,6 +321,50 @@ def url_lookup_join(spark, sf_dir):
     return sites.join(cat.set_url, ["set_id", "site_id"]).select("set_id", "site_id", "url")
 
 
+@query("table_function_apply")
+def table_function_apply(spark, sf_dir):
+    """Each (set, site) with its url (inner apply: none, no row) and its images (outer applies) by SQL table functions."""
+    from ..operators.apply import apply_function
+    from .context import BRAND_CODE
+    from .lookups import define_lookups
+    st = _st(spark, sf_dir)
+    define_lookups(st)
+    rows = apply_function(st.cat.set_category.select("set_id", "site_id").distinct(), "set_url", "l.set_id", "l.site_id")
+    rows = apply_function(rows, "set_image", "l.set_id", f"'{BRAND_CODE}'", keep_all=True)
+    return apply_function(rows, "set_hover_image", "l.set_id", f"'{BRAND_CODE}'", keep_all=True)
+
+
+@query("category_function_apply")
+def category_function_apply(spark, sf_dir):
+    """Each category row of a set with the categories up to the root, as the rows of a SQL table function."""
+    from ..operators.apply import apply_function
+    from .lookups import define_lookups
+    st = _st(spark, sf_dir)
+    define_lookups(st)
+    return apply_function(st.cat.set_category.select("set_id", "site_id", "category_id"), "category_list", "l.category_id")
+
+
+def leg_applies(st):
+    """Sets with the stock behind legs 1 and 2, each by an outer apply of a correlated sum."""
+    from ..operators.apply import apply_rows, outer
+    stocked = st.cat.legs.join(st.color_stock, "color_id")
+    rows = st.cat.set_header.select("set_id")
+    for leg, name in ((1, "vg1_inventory"), (2, "vg2_inventory")):
+        own = stocked.where((F.col("leg_no") == leg) & (F.col("set_id") == outer("set_id")))
+        rows = apply_rows(rows, own.select(F.sum("stock").alias(name)), keep_all=True)
+    return rows
+
+
+@query("correlated_apply")
+def correlated_apply(spark, sf_dir):
+    """Sets that pass the leg gate, once for each of their sites: correlated sums and a correlated DISTINCT."""
+    from ..operators.apply import apply_rows, outer
+    st = _st(spark, sf_dir)
+    gated = leg_applies(st).where("vg1_inventory > 0 and vg2_inventory > 0")
+    sites = st.cat.set_category.select(F.col("set_id").alias("own_set"), "site_id").distinct()
+    return apply_rows(gated, sites.where(F.col("own_set") == outer("set_id")).select("site_id"))
+
+
 @query("self_join_legs")
 def self_join_legs(spark, sf_dir):
     """The set relation in two roles (leg 1, leg 2), as per-set sums side by side."""
@@ -293,9 +373,11 @@ def self_join_legs(spark, sf_dir):
 
 @query("reviews_left_join")
 def reviews_left_join(spark, sf_dir):
+    """Sets with their reviews, by named tables: the reviews' rows are in a database of their own."""
     from ..functions.text import fixed_text
+    from .context import named_stages
     from .feed import set_top_row
-    st = _st(spark, sf_dir)
+    st = named_stages(spark, sf_dir)
     rev = st.cat.reviews.withColumnRenamed("product_set_id", "uber_set_id")
     j = set_top_row(st).join(rev, "uber_set_id", "left")
     return j.select("set_id", fixed_text("review_count").alias("review_count"),

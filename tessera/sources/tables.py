@@ -56,23 +56,31 @@ class NamedTables:
         df = spark.table(self.name(table))
         if table not in SCHEMAS:
             return df
-        declared = T.StructType.fromDDL(SCHEMAS[table])
-        found = {f.name.lower(): f.dataType for f in df.schema.fields}
-        wrong = [f"{f.name} ({f.dataType.simpleString()}, found {found[f.name].simpleString() if f.name in found else 'none'})"
-                 for f in declared.fields if found.get(f.name) != f.dataType]
-        if wrong:
-            raise ValueError(f"table {self.name(table)} differs from its declaration: {', '.join(wrong)}")
-        return df.select(*declared.fieldNames())
+        return df.select(*check_columns(df.schema, table, self.name(table)))
+
+
+def check_columns(found: T.StructType, table: str, where: str) -> list[str]:
+    """The names of the table's declared columns; a ValueError where ``found`` lacks one or has another type."""
+    declared = T.StructType.fromDDL(SCHEMAS[table])
+    types = {f.name.lower(): f.dataType.simpleString() for f in found.fields}
+    wrong = [f"{f.name} is {types.get(f.name, 'missing')}, not {f.dataType.simpleString()}"
+             for f in declared.fields if types.get(f.name) != f.dataType.simpleString()]
+    if wrong:
+        raise ValueError(f"{where} differs from the declaration of {table}: {'; '.join(wrong)}")
+    return declared.fieldNames()
 
 
 def register_folder(spark: SparkSession, folder: str, database: str, tables: Iterable[str]) -> None:
     """Register Parquet files of a folder as external tables of a database (made where it is missing).
 
-    Columns are declared where the library declares them and read from the
-    files otherwise.  Dropping such a table leaves its files.
+    The files' columns are held against the declared ones.  Dropping such a
+    table leaves its files.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for table in tables:
         path = f"{folder.rstrip('/')}/{table}.parquet"
-        columns = SCHEMAS.get(table) or spark.read.parquet(path).schema.toDDL()
+        found = spark.read.parquet(path).schema
+        if table in SCHEMAS:
+            check_columns(found, table, path)
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in found.fields)
         spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{table} ({columns}) USING parquet LOCATION '{path}'")

@@ -50,11 +50,25 @@ def test_date_cleaning(spark):
         "2024-01-01 10:30": (2024, 1, 1, 10, 30), "2024-01-01T10:30:05": (2024, 1, 1, 10, 30, 5),
         "01/02/2024 10:30": (2024, 1, 2, 10, 30), "Jan 5 2024": (2024, 1, 5), "Jan 5, 2024": (2024, 1, 5),
         "5 Jan 2024": (2024, 1, 5), "January 15, 2024": (2024, 1, 15), "Jan 15 2024 08:05": (2024, 1, 15, 8, 5),
+        "2024/1/5": (2024, 1, 5), "2024.01.05 7:08:09": (2024, 1, 5, 7, 8, 9), "1-5-2024": (2024, 1, 5), "12.31.2024": (2024, 12, 31),
+        "20240105 23:59": (2024, 1, 5, 23, 59), "1/5/2024 12:30 AM": (2024, 1, 5, 0, 30), "1/5/2024 12:30PM": (2024, 1, 5, 12, 30),
+        "jan 5 2024 3:04pm": (2024, 1, 5, 15, 4), "5 SEPTEMBER, 2024 03:04": (2024, 9, 5, 3, 4), "May 5 2024": (2024, 5, 5),
+        "2024-02-29": (2024, 2, 29), "  2024-01-01  ": (2024, 1, 1), "2024-01-01 10:30:05.123456": (2024, 1, 1, 10, 30, 5, 123456),
+        "2024-01-01 10:30:05.5": (2024, 1, 1, 10, 30, 5, 500000), "2024 10:30": (2024, 1, 1, 10, 30),
+        "2023-02-29": None, "1/5/2024 13:30 PM": None, "1/5/2024 0:30 AM": None, "2024-01-01 24:00": None, "2024-01-01 10:61": None,
+        "2024-01-01 10": None, "2024010": None, "202401011": None, "Janet 5 2024": None, "2024-1": None, "on 2024-01-01": None,
+        "1/2/24": None, "\x012024\x011\x015": None, "13/45/2024 10:30": None, "0/5/2024": None,
         "junk": None, "n/a": None, "13/45/2024": None, "": None, None: None}
     rows = _one_col(spark, list(want)).select("x", parse_date_text("x").alias("t")).collect()
     assert {r.x: r.t for r in rows} == {k: v and dt.datetime(*v) for k, v in want.items()}
 
 
+def test_a_date_text_is_read_once(spark):
+    df = _one_col(spark, ["2024"]).select(parse_date_text("x").alias("t")).filter("t < current_timestamp()")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") <= 2 and plan.count("try_make_timestamp") <= 2  # the value and the filter
+
+
 def test_validity_interval_at_tomorrow(spark):
     # as_of 2024-01-15 -> tomorrow midnight 2024-01-16
     cases = [((None, None), True), ((None, "2024-01-16"), True), ((None, "2024-01-15"), False),
