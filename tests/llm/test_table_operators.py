@@ -121,37 +121,40 @@ def test_url_keys(spark):
 # -- Suffix tree -----------------------------------------------------------------------------
 
 
-def brute_scores(texts, train, min_context, min_z, min_divergence, alpha):
-    """The model by its definition, every next symbol with its count."""
+def brute_scores(texts, train, min_context, min_z, min_divergence, alpha, depth=2):
+    """The model by its definition, every next symbol with its count, contexts of up to ``depth`` words."""
     toks = suffix_tree.tokens_of
     c = Counter(w for t in train for w in toks(t))
     n, v = sum(c.values()), len(c)
     p0 = lambda w: (c[w] + 1) / (n + v + 1)
-    after = {1: {}, 2: {}}
+    after = {k: {} for k in range(1, depth + 1)}
     for t in train:
         w = toks(t)
         for i, x in enumerate(w):
-            for k in (1, 2):
+            for k in after:
                 if i >= k:
                     after[k].setdefault(tuple(w[i - k:i]), Counter())[x] += 1
     cand = {w for w in c if c[w] >= max(min_context * n, 1)}
-    kept = set()
-    for k in (1, 2):
+    kept, extended = set(), {()}
+    for k in after:
         for s, nxt in after[k].items():
             size = sum(nxt.values())
-            if not set(s) <= cand or size < min_context * n:
+            if not set(s) <= cand or size < min_context * n or s[1:] not in extended:
                 continue
             parent = (lambda w: c[w] / n) if k == 1 else (
-                lambda w, m=after[1][s[1:]]: m[w] / sum(m.values()))
+                lambda w, m=after[k - 1][s[1:]]: m[w] / sum(m.values()))
             cells = [(x, size * parent(w), parent(w)) for w, x in nxt.items() if w in cand and size * parent(w) >= 5]
             if not cells:
+                if len(nxt) > 1 and (k == 1 or s[1:] in kept):
+                    extended.add(s)
                 continue
             rest, rest_p = size - sum(x for x, _, _ in cells), max(1 - sum(p for *_, p in cells), 1e-12)
             g2 = 2 * (sum(x * math.log(x / e) for x, e, _ in cells) + (rest * math.log(rest / (size * rest_p)) if rest else 0))
             if (g2 - len(cells)) / math.sqrt(2 * len(cells)) >= min_z and g2 / (2 * size) >= min_divergence:
                 kept.add(s)
-    state = lambda w, i: tuple(w[i - 2:i]) if i >= 2 and tuple(w[i - 2:i]) in kept else (
-        (w[i - 1],) if i and (w[i - 1],) in kept else ())
+            if len(nxt) > 1 and (k == 1 or s in kept or s[1:] in kept):
+                extended.add(s)
+    state = lambda w, i: next((tuple(w[i - k:i]) for k in range(min(i, depth), 0, -1) if tuple(w[i - k:i]) in kept), ())
     nexts = {}
     for t in train:
         w = toks(t)
@@ -219,6 +222,26 @@ def test_held_tables_do_not_change_scores(spark):
             assert (r["n_known"], r["base_score"], r["score"]) == (known, pytest.approx(base), pytest.approx(score))
 
 
+def test_longer_contexts_equal_brute_force(spark):
+    rng = random.Random(12)
+    texts = []
+    for _ in range(1500):
+        w = [rng.choice("abc") for _ in range(3)]
+        for _ in range(rng.randrange(2, 9)):
+            far = w[-4] if len(w) > 3 and w[-3] == "a" else w[-3]  # three words back decide, or four
+            w.append(far if rng.random() < 0.7 else rng.choice("abcd"))
+        texts.append(" ".join(w))
+    train, n = [t.encode() for t in texts], sum(len(suffix_tree.tokens_of(t.encode())) for t in texts)
+    want, kept = brute_scores(train, train, 25 / n, suffix_tree.MIN_Z, suffix_tree.MIN_DIVERGENCE, suffix_tree.ALPHA, depth=7)
+    assert {3, 4} <= {len(s) for s in kept}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    for held in ({}, {"top_words": 1, "top_pairs": 3}):
+        got = {r["doc_id"]: r for r in suffix_tree.score_texts(df, df, min_count=25, **held).collect()}
+        for i, (_, known, _, base, score) in enumerate(want):
+            r = got[i]
+            assert (r["n_known"], r["base_score"], r["score"]) == (known, pytest.approx(base), pytest.approx(score)), texts[i]
+
+
 def test_contexts_of_any_length(spark):
     texts = ["a x y p", "b x y q", "a b x p", "b a x q"] * 100 + ["k l m n o p", "j l m n o q"] * 100
     df = spark.createDataFrame(list(enumerate(texts + ["a x y q", "b x y p"])), "doc_id long, text string")
