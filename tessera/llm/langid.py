@@ -173,19 +173,25 @@ def document_frequencies(texts: DataFrame, buckets: int) -> tuple[np.ndarray, in
 def sample_by_label(train: DataFrame, max_rows: int) -> DataFrame:
     """(label, text, calibrate): max_rows / labels rows of each label, the least by a hash of key and text.
 
-    Rows are first thinned by their hash to about twice that number, so that
-    a frequent label's rows do not meet in one task.
+    Repeated rows have one hash and are taken together or not.  One pass
+    counts each label's rows below 2**30, 2**29, ... of the hashes' range; the
+    least of these bounds that leaves enough rows thins the label, so that a
+    frequent label's rows do not meet in one task.  A label is not thinned
+    where no bound leaves enough, as where it is one row many times over; then
+    each task's window keeps what one label may give before rows are moved.
     """
-    sizes = materialize(train.groupBy("label").agg(F.count("*").alias("n")), "label-counts")
+    span = 30
+    place = F.pmod(F.xxhash64("key", "text"), F.lit(1 << span))
+    below = [F.count(F.when(F.col("h") < (1 << k), 1)).alias(f"n{k}") for k in range(span + 1)]
+    sizes = materialize(train.select("label", place.alias("h")).groupBy("label").agg(*below), "label-counts")
     n_labels = sizes.count()
     if n_labels > max_rows:
         raise ValueError(f"{n_labels} labels, and {max_rows} rows to learn them from")
     each = max(1, max_rows // max(n_labels, 1))
-    span = 1 << 30
-    # 2 * each + 64 rows are expected: fewer than each are as good as impossible
-    near = (train.join(sizes, "label").withColumn("h", F.xxhash64("key", "text"))
-            .where(F.pmod("h", F.lit(span)) * F.col("n") <= F.lit(float(span) * (2 * each + 64))))
-    best = F.row_number().over(W.partitionBy("label").orderBy(F.pmod("h", F.lit(span)), "h"))
+    bound = F.coalesce(*[F.when(F.col(f"n{k}") >= each, F.lit(1 << k)) for k in range(span + 1)], F.lit(1 << span))
+    near = (train.join(sizes.select("label", bound.alias("bound")), "label").withColumn("h", place)
+            .where(F.col("h") < F.col("bound")))
+    best = F.row_number().over(W.partitionBy("label").orderBy("h", F.xxhash64("key", "text")))
     return (near.withColumn("place", best).where(F.col("place") <= each)
             .select("label", "text", (F.col("place") % 5 == 0).alias("calibrate")))
 
