@@ -38,9 +38,11 @@ from .common import BATCH_ROWS, materialize, shared_dir, small_batches
 
 BLOCK_LINES = 512
 READ_BYTES = 4 << 20
+#: Archive bytes that a task of the read side serves, where there are tasks enough.
+TASK_BYTES = 4 << 20
 _CAPTURED = "1970-01-01T00:00:00Z"
 _REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-_DIRECTORY = "file string, first_key string, last_key string, offset long, length long, lines long"
+_DIRECTORY = "file string, first_key string, last_key string, offset long, length long, lines long, bytes long"
 _RECORD = ("key string, page_id long, url string, record_type string, refers_to long, "
            "payload_bytes long, payload_digest string, payload binary")
 
@@ -141,14 +143,14 @@ def write_archives(pages: DataFrame, root: str | None = None, id_col: str = "pag
         own = f"{folder}/.{name}-{uuid.uuid4().hex}"
         archive = index = None
         lines, blocks = [], []
-        at = done = 0
+        at = done = block_start = 0
 
         def close_block():
-            nonlocal done
+            nonlocal done, block_start
             packed = zlib.compress("\n".join(x for _, x in lines).encode(), 6)
             index.write(packed)
-            blocks.append((name, lines[0][0], lines[-1][0], done, len(packed), len(lines)))
-            done += len(packed)
+            blocks.append((name, lines[0][0], lines[-1][0], done, len(packed), len(lines), at - block_start))
+            done, block_start = done + len(packed), at
             lines.clear()
 
         for batch in batches:
@@ -262,7 +264,10 @@ def lookup(spark: SparkSession, root: str, keys: DataFrame) -> DataFrame:
     small_batches(spark)
     wanted = keys.select("key").where("key is not null").distinct().repartitionByRange("key").sortWithinPartitions("key")
     blocks = wanted.mapInArrow(find, "file string, offset long, length long, key string")
-    return (blocks.repartition("file", "offset").sortWithinPartitions("file", "offset", "key")
+    # by the archive bytes behind the index rows: a number, which adaptive execution does not lower by the rows' own size
+    stored = spark.read.schema(_DIRECTORY).parquet(f"{root}/directory").agg(F.sum("bytes")).first()[0] or 0
+    n = min(stored // TASK_BYTES + 1, 16 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return (blocks.repartition(n, "file", "offset").sortWithinPartitions("file", "offset", "key")
             .mapInArrow(read, _RECORD))
 
 
