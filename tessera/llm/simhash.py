@@ -195,7 +195,9 @@ def link_forest(fps: DataFrame, max_bits: int = MAX_BITS, cell_rows: int = CELL_
             .bitwiseOR(F.shiftleft(F.col("fp").bitwiseAND(F.shiftrightunsigned("fp", 1))
                                    .bitwiseAND(F.lit(_EVEN)), 1)))
     masks = F.array(*[F.lit(_signed(m)) for m in _masks(max_bits)])
-    cells = (fps.select("fp", code.alias("code"), F.posexplode(masks).alias("mask_no", "mask"))
+    # each fingerprint becomes a row a mask: deal them to all tasks first, they may come from a few files
+    dealt = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    cells = (dealt.select("fp", code.alias("code"), F.posexplode(masks).alias("mask_no", "mask"))
              .select(F.col("mask_no").cast("long"),
                      F.col("code").bitwiseAND(F.col("mask")).alias("cell"), "fp"))
     big = materialize(cells.groupBy("mask_no", "cell").count()
