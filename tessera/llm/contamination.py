@@ -12,20 +12,24 @@ length the search keeps
 * a direct comparison of the window with the patterns of the bucket.
 
 The benchmark is a stated query set.  Its tables are broadcast in blocks of at
-most ``max_block_bytes`` of item text; a larger benchmark takes more passes.
+most ``max_block_bytes`` of item text.  A larger benchmark takes a pass over
+the documents for each block, one after the other: a worker holds the tables
+of one block, and what a pass finds (the documents with hits) is written.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections import defaultdict
+from collections.abc import Iterable
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_text, without, worker_state
+from .common import map_text, materialize, without, worker_state
 
 WINDOW_WORDS = 13
 BLOCK = 2
@@ -110,6 +114,53 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str, max_bytes: int):
         yield [(r["id"], bytes(r["text"])) for r in part.collect()]
 
 
+def _search(df: DataFrame, text_col: str, block: list, window: int):
+    """``df`` with n_words, spans and items of one block's windows, and the broadcast of its tables."""
+    kinds = [pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.list_(pa.string())]
+    tables = df.sparkSession.sparkContext.broadcast((block, window))
+    key = uuid.uuid4().hex
+
+    def start():
+        searchers = worker_state("wu-manber", key, lambda: build(*tables.value))
+
+        def work(texts):
+            n, spans, items = zip(*(scan(searchers, t) for t in texts))
+            return [pa.array(n, kinds[0]),
+                    pa.array([[{"start": a, "end": b} for a, b in x] for x in spans], kinds[1]),
+                    pa.array(items, kinds[2])]
+        return work
+
+    return map_text(df, text_col, [T.StructField("n_words", T.LongType()), T.StructField("spans", _SPANS),
+                                   T.StructField("items", T.ArrayType(T.StringType()))], start, as_bytes=True), tables
+
+
+_SPANS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
+
+
+def _search_blocks(df: DataFrame, text_col: str, blocks: Iterable[list], window: int) -> DataFrame:
+    """The same for more than one block: a pass and a table of hits for each, merged by document."""
+    docs = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "contamination-docs")
+    hits = None
+    for block in blocks:
+        found, tables = _search(docs.select("_row", f"`{text_col}`"), text_col, block, window)
+        part = materialize(found.where(F.size("spans") > 0).select("_row", "spans", "items"), "contamination-hits")
+        tables.destroy()
+        hits = part if hits is None else hits.unionByName(part)
+    by_doc = hits.groupBy("_row").agg(F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans"),
+                                      F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    merged = F.reduce("spans", F.array().cast(_SPANS), lambda acc, x: F.when(
+        (F.size(acc) > 0) & (x["start"] <= F.element_at(acc, -1)["end"]),
+        F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct(
+            F.element_at(acc, -1)["start"].alias("start"),
+            F.greatest(F.element_at(acc, -1)["end"], x["end"]).alias("end")))))
+        .otherwise(F.concat(acc, F.array(x))))
+    counted = map_text(docs, text_col, [T.StructField("n_words", T.LongType())],
+                       lambda: lambda texts: [[len(words_of(t)) for t in texts]], as_bytes=True)
+    return (counted.join(by_doc, "_row", "left").drop("_row")
+            .withColumns({"spans": F.coalesce(merged, F.array().cast(_SPANS)),
+                          "items": F.coalesce("items", F.array().cast("array<string>"))}))
+
+
 def find_contamination(df: DataFrame, benchmark: DataFrame, text_col: str = "text",
                        item_id_col: str = "item_id", item_text_col: str = "text",
                        window: int = WINDOW_WORDS,
@@ -124,41 +175,13 @@ def find_contamination(df: DataFrame, benchmark: DataFrame, text_col: str = "tex
     items share, list every id.  An empty benchmark hits nothing.  Columns of
     ``df`` named like a result column are replaced.
     """
-    spark = df.sparkSession
-    out = without(df, ["n_words", "n_hit", "spans", "items", "contaminated"])
-    span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
-    kinds = [pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.list_(pa.string())]
-    parts = []
-    for k, block in enumerate(_blocks(benchmark, item_id_col, item_text_col, max_block_bytes)):
-        tables = spark.sparkContext.broadcast((block, window))
-
-        def start(k=k, key=uuid.uuid4().hex, tables=tables):
-            searchers = worker_state(f"wu-manber-{k}", key, lambda: build(*tables.value))
-
-            def work(texts):
-                n, spans, items = zip(*(scan(searchers, t) for t in texts))
-                return [pa.array(n, kinds[0]),
-                        pa.array([[{"start": a, "end": b} for a, b in x] for x in spans], kinds[1]),
-                        pa.array(items, kinds[2])]
-            return work
-
-        parts.append((f"_spans{k}", f"_items{k}"))
-        out = map_text(out, text_col, [
-            T.StructField("n_words", T.LongType()), T.StructField(f"_spans{k}", span),
-            T.StructField(f"_items{k}", T.ArrayType(T.StringType()))], start, as_bytes=True)
-    if len(parts) == 1:
-        out = out.withColumnsRenamed({"_spans0": "spans", "_items0": "items"})
+    base = without(df, ["n_words", "n_hit", "spans", "items", "contaminated"])
+    blocks = _blocks(benchmark, item_id_col, item_text_col, max_block_bytes)
+    first = next(blocks)
+    if (second := next(blocks, None)) is None:
+        out, _ = _search(base, text_col, first, window)
     else:
-        spans = F.sort_array(F.concat(*[s for s, _ in parts]))
-        merged = F.reduce(spans, F.array().cast(span), lambda acc, x: F.when(
-            (F.size(acc) > 0) & (x["start"] <= F.element_at(acc, -1)["end"]),
-            F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct(
-                F.element_at(acc, -1)["start"].alias("start"),
-                F.greatest(F.element_at(acc, -1)["end"], x["end"]).alias("end")))))
-            .otherwise(F.concat(acc, F.array(x))))
-        out = (out.withColumn("spans", merged)
-               .withColumn("items", F.array_sort(F.array_distinct(F.concat(*[i for _, i in parts]))))
-               .drop(*[c for p in parts for c in p]))
+        out = _search_blocks(base, text_col, chain((first, second), blocks), window)
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, x: acc + x["end"] - x["start"])
     return (out.withColumn("n_hit", hit)
             .withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col("n_words"))))
