@@ -8,7 +8,9 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -121,9 +123,41 @@ def test_url_keys(spark):
 # -- Suffix tree -----------------------------------------------------------------------------
 
 
+def tokens_of(text):
+    return (text or b"").lower().split() + [b""]
+
+
+def test_tokens_and_distinct_hashes():
+    texts = ["  A b \t c\x1c", None, "", " ", "x\x85y \n", "\u00c4 \u00e9 \u00c9 A", "a " * 1000]
+    x, starts = suffix_tree._batch_tokens(pa.array(texts, pa.string()).slice(0))
+    want = [tokens_of(t and t.encode()) for t in texts]
+    assert x.tolist() == [xxhash.xxh64_intdigest(w, suffix_tree.SEED) for t in want for w in t]
+    assert starts.tolist() == np.cumsum([0] + [len(t) for t in want])[:-1].tolist()
+    x, starts = suffix_tree._batch_tokens(pa.array(texts, pa.string()).slice(1, 3))
+    assert len(x) == 3 and starts.tolist() == [0, 1, 2]
+    assert len(suffix_tree._batch_tokens(pa.array([], pa.string()))[0]) == 0
+    # the first bits are the same for all: parts are added up
+    h = np.array([5, 3, 5, 1 << 63, 3, 5], np.uint64)
+    at, n = suffix_tree._distinct(h)
+    got = Counter()
+    for i, c in zip(at, n):
+        got[int(h[i])] += int(c)
+    assert got == {5: 3, 3: 2, 1 << 63: 1}
+
+
+def test_bitmap_has_all_its_pairs(spark):
+    for n in (0, 3, 9000):
+        pairs = spark.range(n).selectExpr("id % 7 as state", "xxhash64(id) as word")
+        h = np.array([r[0] for r in suffix_tree._pair_hashes(pairs).collect()], np.int64).view(np.uint64)
+        made = suffix_tree._bitmap(pairs)
+        assert suffix_tree._may_have(made, h).all()
+        bits = len(made).bit_length() + 5
+        assert np.unpackbits(made.view(np.uint8)).sum() == len(set((h >> np.uint64(64 - bits)).tolist()))
+
+
 def brute_scores(texts, train, min_context, min_z, min_divergence, alpha, depth=2):
     """The model by its definition, every next symbol with its count, contexts of up to ``depth`` words."""
-    toks = suffix_tree.tokens_of
+    toks = tokens_of
     c = Counter(w for t in train for w in toks(t))
     n, v = sum(c.values()), len(c)
     p0 = lambda w: (c[w] + 1) / (n + v + 1)
@@ -211,7 +245,7 @@ def test_held_tables_do_not_change_scores(spark):
     rng = random.Random(9)
     texts = [" ".join(["a", rng.choice("bc"), f"r{rng.randrange(30)}", rng.choice(["d", "e f"])]) for _ in range(400)]
     train = [t.encode() for t in texts]
-    n = sum(len(suffix_tree.tokens_of(t)) for t in train)
+    n = sum(len(tokens_of(t)) for t in train)
     want, kept = brute_scores(train, train, 40 / n, suffix_tree.MIN_Z, suffix_tree.MIN_DIVERGENCE, suffix_tree.ALPHA)
     assert kept
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
@@ -231,7 +265,7 @@ def test_longer_contexts_equal_brute_force(spark):
             far = w[-4] if len(w) > 3 and w[-3] == "a" else w[-3]  # three words back decide, or four
             w.append(far if rng.random() < 0.7 else rng.choice("abcd"))
         texts.append(" ".join(w))
-    train, n = [t.encode() for t in texts], sum(len(suffix_tree.tokens_of(t.encode())) for t in texts)
+    train, n = [t.encode() for t in texts], sum(len(tokens_of(t.encode())) for t in texts)
     want, kept = brute_scores(train, train, 25 / n, suffix_tree.MIN_Z, suffix_tree.MIN_DIVERGENCE, suffix_tree.ALPHA, depth=7)
     assert {3, 4} <= {len(s) for s in kept}
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
