@@ -231,6 +231,71 @@ def test_alignment_is_a_common_subsequence_and_whole_where_words_are_unique():
         assert len(licenses.align(u, v)) == brute_lcs(u, v)
 
 
+def brute_scan(templates, text):
+    """All notices by LCS: every stretch of a region that begins and ends with a matched word, the best ones first."""
+    words, found = licenses.words_of(text.encode()), []
+    for t in templates:
+        hits = [i for i, w in enumerate(words) if w in t.vocabulary]
+        for run in t.runs(hits):
+            lcs = {}
+            for s in run:
+                row = [0] * (len(t.words) + 1)
+                for e in range(s, run[-1] + 1):
+                    new = [0]
+                    for j, w in enumerate(t.words):
+                        new.append(row[j] + 1 if words[e] == w else max(row[j + 1], new[j]))
+                    row = new
+                    lcs[s, e + 1] = row[-1]
+            for (s, e), n in lcs.items():
+                if n >= t.need and n > lcs.get((s, e - 1), 0) and all(n > lcs.get((x, e), 0) for x in run if s < x < e):
+                    found.append((t.name, n / len(t.words), n, s, e))
+    kept = []
+    for notice in sorted(found, key=licenses._rank):
+        if all(notice[4] <= k[3] or k[4] <= notice[3] for k in kept):
+            kept.append(notice)
+    return kept
+
+
+def test_license_scan_equals_brute_force():
+    rng = random.Random(11)
+    templates = [licenses.Template(n, t, licenses.MIN_COVERAGE) for n, t in sorted(licenses.TEMPLATES.items())]
+    several = 0
+    for _ in range(60):
+        text = []
+        for t in rng.sample(templates, rng.randint(1, 3)):
+            text += [f"z{rng.randint(0, 9)}" for _ in range(rng.randint(len(t.words) + 7, len(t.words) + 30))]
+            gone = set(rng.sample(range(len(t.words)), rng.randint(0, len(t.words) - t.need + 1)))  # one more than may go
+            for i, w in enumerate(t.words):
+                if i not in gone:
+                    text += [w.decode(), *(f"y{rng.randint(0, 9)}" for _ in range(rng.choice((0, 0, 0, 1, 3))))]
+        text = " ".join(text)
+        got, want = licenses.scan(templates, text.encode()), brute_scan(templates, text)
+        assert got == want, text
+        several += len(want) > 1
+    assert several > 5
+
+
+def test_license_scan_of_shuffled_template_words_is_sound():
+    """Whatever the words, each notice is a common subsequence of its place, and none overlap."""
+    rng = random.Random(12)
+    templates = [licenses.Template(n, t, 0.6) for n, t in sorted(licenses.TEMPLATES.items())]
+    vocabulary = sorted(set().union(*(t.vocabulary for t in templates)))
+    by_name = {t.name: t for t in templates}
+    seen = 0
+    for _ in range(300):
+        own = rng.choice(templates).words
+        words = [rng.choice(own) if rng.random() < 0.5 else own[i % len(own)] if rng.random() < 0.9 else rng.choice(vocabulary)
+                 for i in range(rng.randint(5, 60))]
+        notices = licenses.scan(templates, b" ".join(words))
+        for name, coverage, n, start, end in notices:
+            t = by_name[name]
+            assert t.need <= n <= brute_lcs(words[start:end], t.words) and coverage == n / len(t.words)
+        places = sorted(n[3:] for n in notices)
+        assert all(a[1] <= b[0] for a, b in zip(places, places[1:]))
+        seen += len(notices)
+    assert seen > 20
+
+
 def test_license_scan(spark):
     mit, gpl = licenses.TEMPLATES["MIT"], licenses.TEMPLATES["GPL-3.0"]
     noise = "the version of this work is under the public " * 40
