@@ -4,7 +4,8 @@ Calls name a tool, carry an identifier, arguments as a JSON text, and may name
 the call that they follow up.  Results carry the identifier of their call.
 Identifiers hold within a thread.
 
-* Linking is a hash join by (thread, identifier).
+* Linking is a hash join by (thread, identifier); the side with one row an
+  identifier is the one that is hashed, a shuffle partition at a time.
 * The order is topological: a result comes after its call, a call after the
   one that it follows up and that one's result.  The graph is a forest, so
   the level of a node is its depth, found by pointer doubling: as many joins
@@ -74,7 +75,7 @@ def levels_of(nodes: DataFrame) -> DataFrame:
         upper = now.select(F.col("thread").alias("t"), F.col("call_id").alias("c"), F.col("up").alias("next"),
                            F.col("step").alias("more"))
         on = now["thread"].eqNullSafe(upper["t"]) & (now["up"] == upper["c"])
-        new = materialize(now.join(upper, on, "left").select(
+        new = materialize(now.join(upper.hint("shuffle_hash"), on, "left").select(
             "thread", "call_id", F.col("next").alias("up"),
             (F.col("step") + F.coalesce("more", F.lit(0))).alias("step")), "calls-up")
         delete_files(now)
@@ -104,14 +105,14 @@ def link_calls(calls: DataFrame, results: DataFrame,
     owners = (calls.where("call_id is not null").groupBy("thread", "call_id").agg(F.min(own).alias("own")))
     answers = (results.where("call_id is not null").groupBy(F.col("thread").alias("rt"), F.col("call_id").alias("rc"))
                .agg(F.count("*").alias("answers")))
-    ids = materialize(owners.join(answers, F.col("thread").eqNullSafe(F.col("rt")) & (F.col("call_id") == F.col("rc")), "left")
+    ids = materialize(owners.join(answers.hint("shuffle_hash"), F.col("thread").eqNullSafe(F.col("rt")) & (F.col("call_id") == F.col("rc")), "left")
                       .select("thread", "call_id", "own", F.coalesce("answers", F.lit(0)).alias("answers")), "calls-ids")
     parent = ids.select(F.col("thread").alias("pt"), F.col("call_id").alias("pc"), F.col("answers").alias("above"))
-    nodes = ids.join(parent, F.col("thread").eqNullSafe(F.col("pt")) & (F.col("own.after") == F.col("pc")), "left").select(
+    nodes = ids.join(parent.hint("shuffle_hash"), F.col("thread").eqNullSafe(F.col("pt")) & (F.col("own.after") == F.col("pc")), "left").select(
         "thread", "call_id", F.col("pc").alias("up"),
         F.when(F.col("pc").isNull(), 0).when(F.col("above") > 0, 2).otherwise(1).cast("long").alias("step"))
     level = levels_of(nodes).select(F.col("thread").alias("lt"), F.col("call_id").alias("lc"), "level")
-    known = materialize(ids.join(level, F.col("thread").eqNullSafe(F.col("lt")) & (F.col("call_id") == F.col("lc")))
+    known = materialize(ids.join(level.hint("shuffle_hash"), F.col("thread").eqNullSafe(F.col("lt")) & (F.col("call_id") == F.col("lc")))
                         .select(F.col("thread").alias("kt"), F.col("call_id").alias("kc"), "own", "answers", "level"), "calls-known")
     on = F.col("thread").eqNullSafe(F.col("kt")) & (F.col("call_id") == F.col("kc"))
 
@@ -120,12 +121,12 @@ def link_calls(calls: DataFrame, results: DataFrame,
               .when(F.col("level").isNull(), "cycle").when(F.col("answers") > 0, "linked").otherwise("unanswered"))
     message = F.to_json(F.struct(F.try_parse_json("arguments").alias("arguments"), F.col("call_id").alias("id"),
                                  F.col("tool").alias("name"), F.lit("call").alias("type")))
-    call_rows = calls.join(known, on, "left").select(
+    call_rows = calls.join(known.hint("shuffle_hash"), on, "left").select(
         "thread", "place", F.lit("call").alias("kind"), "call_id", status.alias("status"),
         F.when(first, F.col("level")).alias("level"),
         argument_errors(F.col("tool"), F.col("arguments"), schemas).alias("errors"), message.alias("message"))
     answer = F.to_json(F.struct(F.col("content"), F.col("call_id").alias("id"), F.lit("result").alias("type")))
-    result_rows = results.join(known, on, "left").select(
+    result_rows = results.join(known.hint("shuffle_hash"), on, "left").select(
         "thread", "place", F.lit("result").alias("kind"), "call_id",
         F.when(F.col("kc").isNull(), "orphan").otherwise("linked").alias("status"),
         (F.col("level") + 1).alias("level"), F.lit(None).cast("array<string>").alias("errors"), answer.alias("message"))

@@ -321,6 +321,7 @@ def test_linking_levels_and_validation(spark):
 def test_tool_calls_are_native(spark, sf_small):
     plan = queries.op10_tool_calls(spark, sf_small)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan and "Broadcast" not in plan
 
 
 # -- Queries and pipeline --------------------------------------------------------------------
