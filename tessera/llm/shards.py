@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from .common import materialize, shared_dir, without
+from .common import delete_files, materialize, shared_dir, small_batches, without
+from .prefix import running_sums
 
 N_SLOTS = 8192
 MAP_SCHEMA = T.StructType([T.StructField("version", T.IntegerType()),
@@ -94,18 +95,21 @@ def read_map(spark: SparkSession, path: str, version: int | None = None) -> Data
 def assign(df: DataFrame, shard_map: DataFrame, *order: str) -> DataFrame:
     """Append shard, and slot: the record's place in its shard, gapless from 0.
 
-    Places are counted in two steps, so no task holds a shard: the records of
-    each virtual slot are numbered by ``order``, and a prefix sum over the
-    slots of a shard (n_slots rows in all) tells where each slot begins.
+    The records are numbered in one order of (virtual slot, ``order``) by
+    running sums over sorted ranges, so neither a shard nor a slot that one
+    repeated record fills is a task.  Where each virtual slot begins in that
+    order and in its shard is known from n_slots rows.
     """
     base = without(df, ["shard", "slot"])
-    counts = base.groupBy("vslot").count().join(shard_map, "vslot")
+    small_batches(df.sparkSession)
+    ones = base.withColumns({"_one": F.lit(1), "_copy": F.monotonically_increasing_id()})
+    rows = running_sums(ones, ["vslot", *order, "_copy"], {"_place": "_one"}, "shards-rows")
+    of_slot = rows.groupBy("vslot").agg(F.min("_place").alias("_first"), F.count("*").alias("_n")).join(shard_map, "vslot")
     before = W.partitionBy("shard").orderBy("vslot").rowsBetween(W.unboundedPreceding, -1)
-    begins = counts.select("vslot", "shard", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_begin"))
-    place = F.row_number().over(W.partitionBy("vslot").orderBy(*order)) - 1
-    return (base.withColumn("_place", place).join(F.broadcast(begins), "vslot")  # n_slots rows at most
+    begins = of_slot.select("vslot", "shard", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_begin"))
+    return (rows.join(F.broadcast(begins), "vslot")  # n_slots rows at most
             .withColumn("slot", (F.col("_begin") + F.col("_place")).cast("long"))
-            .drop("_begin", "_place"))
+            .drop("_begin", "_place", "_one", "_copy"))
 
 
 def shard_by_bytes(df: DataFrame, keys: list[str], size_col: str, n_shards: int,
@@ -124,4 +128,6 @@ def shard_by_bytes(df: DataFrame, keys: list[str], size_col: str, n_shards: int,
     first = initial_map(n_slots, n_shards)
     write_map(spark, path, 1, first)
     write_map(spark, path, 2, rebalance(first, weight, n_shards))
-    return assign(rows, read_map(spark, path, 2), *keys, size_col), path
+    out = assign(rows, read_map(spark, path, 2), *keys, size_col)
+    delete_files(rows)  # numbered rows have been written
+    return out, path

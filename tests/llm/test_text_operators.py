@@ -380,6 +380,21 @@ def test_shards_are_whole_balanced_and_gapless(spark, sf_small):
     assert shards.shard_by_bytes(df.limit(0), ["doc_id"], "size", 5)[0].count() == 0
 
 
+def test_one_record_repeated_is_numbered_by_many_tasks(spark):
+    rows = [(7, 16)] * 3000 + [(i, 16) for i in range(200)]
+    df = shards.with_vslot(spark.createDataFrame(rows, "doc_id long, size long"), "doc_id")
+    out = shards.assign(df, spark.createDataFrame(list(enumerate(shards.initial_map(shards.N_SLOTS, 3))), "vslot int, shard int"), "doc_id")
+    by = {}
+    for r in out.collect():
+        by.setdefault(r["shard"], []).append((r["vslot"], r["doc_id"], r["slot"]))
+    for own in by.values():  # in the order of virtual slots and keys, gapless
+        assert [x[2] for x in sorted(own)] == list(range(len(own)))
+    assert sum(map(len, by.values())) == len(rows)
+    assert "row_number" not in out._jdf.queryExecution().toString()
+    hot = spark.read.parquet(*out.inputFiles()).where("doc_id = 7").groupBy("_range").count().collect()
+    assert len(hot) > 1 and max(r["count"] for r in hot) < 2500
+
+
 def test_op2_digest(spark, sf_small):
     from tessera.llm.queries import op2_virtual_slots
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_small}/documents.parquet").collect()}
