@@ -242,10 +242,10 @@ def inner_join_star(spark, sf_dir):
     """
     st = _st(spark, sf_dir)
     cat = st.cat
-    rows = cat.legs.groupBy("set_id", "product_id", "color_id").agg(F.count(F.lit(1)).alias("n"))
+    rows = cat.product_legs.groupBy("set_id", "product_id", "color_id").agg(F.count(F.lit(1)).alias("n"))
     pr = st.known_products.select("product_id", "brand_name")
     priced = st.sku_rollup.select("product_id", "color_id", "n_all", "min_all", "max_all")
-    j = rows.join(priced, ["product_id", "color_id"]).join(pr, "product_id")
+    j = rows.join(priced, ["product_id", "color_id"]).repartition(cat.line_tasks, "product_id").join(pr, "product_id")
     return j.groupBy("set_id", "product_id", "brand_name").agg(
         F.sum(F.col("n") * F.col("n_all")).alias("n_rows"), F.min("min_all").alias("min_price"),
         F.max("max_all").alias("max_price"))
@@ -255,7 +255,7 @@ def inner_join_star(spark, sf_dir):
 def composite_key_join(spark, sf_dir):
     cat = _st(spark, sf_dir).cat
     sty = cat.style.select("product_id", "color_id", "status")
-    return cat.legs.join(sty, ["product_id", "color_id"])
+    return cat.product_legs.join(sty, ["product_id", "color_id"])
 
 
 @query("left_join_on_residual")

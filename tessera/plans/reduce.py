@@ -9,7 +9,8 @@ joins that derive a relation, down to its scan.
 
 The size-level fact is rolled up once per (product, colour) and staged: the
 leg gate, the set's stock, the variants' prices and the styles are all
-aggregates of that table.
+aggregates of that table.  So is the stock per colour, staged as well: where
+it is small, its size tells Spark to broadcast it to the product-set rows.
 """
 
 from __future__ import annotations
@@ -38,7 +39,12 @@ class ReducedCatalog(Catalog):
         super().__init__(full.spark, full.source)
         self.kept_products = products
         self.rollup = rollup
-        self.__dict__["legs"] = legs
+        self.__dict__["legs"] = self.__dict__["product_legs"] = legs
+
+    @cached_property
+    def line_tasks(self) -> int:
+        """Tasks for the kept rows."""
+        return self._tasks(self.legs)
 
     def _kept(self, relation: DataFrame) -> DataFrame:
         return exists_in(relation, self.kept_products, "product_id")
@@ -63,8 +69,7 @@ class ReducedCatalog(Catalog):
     @cached_property
     def set_category(self) -> DataFrame:
         """From the kept rows: they have the keys of their lines."""
-        return self._set_categories(self.legs.join(self.supplier_geo, F.col("color_id") == F.col("s_suppkey")),
-                                    "set_id", "leg_no")
+        return self._set_categories(self.with_geo(self.legs, "color_id"), "set_id", "leg_no")
 
 
 class ReducedStages(Stages):
@@ -74,6 +79,7 @@ class ReducedStages(Stages):
         super().__init__(full.cat, full.as_of, full.brand_code)
         rollup = store.table("sku_rollup", full.sku_rollup)
         self.__dict__["sku_rollup"] = rollup
+        self.__dict__["color_stock"] = store.table("color_stock", self.color_stock)
         kept = store.table("kept_sets", exists_in(self.gated_sets.select("set_id"), sellable(full.cat.set_header), "set_id"), by="set_id")
         legs = store.table("legs", exists_in(full.cat.legs, kept, "set_id"), by="set_id")
         products = store.table("kept_products", legs.select("product_id").distinct())

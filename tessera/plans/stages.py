@@ -206,11 +206,11 @@ class Stages:
     @cached_property
     def products(self) -> DataFrame:
         """Set x product x primary category x variation group: stock, min and max price."""
-        n_rows = (self.cat.legs.groupBy("set_id", "product_id", "color_id")
+        n_rows = (self.cat.product_legs.groupBy("set_id", "product_id", "color_id")
                   .agg(F.count(F.lit(1)).alias("n"))
                   .withColumn("variation_group", F.concat_ws("-", "product_id", "color_id")))
         j = (n_rows.join(self.sku_by_product_color, ["product_id", "color_id"])
-             .join(self.product_category, "product_id"))
+             .repartition(self.cat.line_tasks, "product_id").join(self.product_category, "product_id"))
         units = F.col("n") * F.col("mult") * F.col("stock")
         g = j.groupBy("set_id", "product_id", "primary_category", "brand_name",
                       "variation_group").agg(

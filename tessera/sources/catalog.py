@@ -14,7 +14,11 @@ Scale notes (1000 executors, lineitem ~ 600 billion rows):
 * ``legs`` has the keys of the product-set rows only; set columns and price
   texts are relations of their own, joined where they are read.
 * ``sku`` is the size grain with its stock, style status and price summary in
-  one pass over lineitem; partial aggregation runs map-side.
+  one pass over lineitem.
+* The product-set rows are dealt by a key (the set, style, size or product) before
+  they are grouped, to as many tasks as their number asks for (``line_tasks``).
+  All that is grouped by more keys is grouped where it is, and what a task
+  holds does not grow with the input.
 * Joins are left to AQE, which turns one into a broadcast only when the
   runtime size is under ``spark.sql.autoBroadcastJoinThreshold``.
 """
@@ -30,6 +34,12 @@ from .tables import NamedTables, read_table
 
 DEC2 = "decimal(10,2)"
 SIZE_KEY = ["product_id", "color_id", "size_no"]
+#: The keys of a style and of a size as lineitem names them.
+STYLE_LINE = ["l_partkey", "l_suppkey"]
+SIZE_LINE = [*STYLE_LINE, "l_linenumber"]
+
+#: Product-set rows dealt to one task: a hash map or a sort of them takes a page or two of 64 MB.
+LINES_PER_TASK = 250_000
 
 # The attribute names that the feed pivots into columns, in source order.
 PIVOT_NAMES = (
@@ -66,6 +76,19 @@ class Catalog:
     def lineitem(self) -> DataFrame:
         return self.table("lineitem")
 
+    @cached_property
+    def line_tasks(self) -> int:
+        """Tasks that the product-set rows are dealt to."""
+        return self._tasks(self.lineitem)
+
+    def _tasks(self, rows: DataFrame) -> int:
+        """By the number of rows (Parquet has it in the files' footers)."""
+        return max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // LINES_PER_TASK))
+
+    def dealt(self, rows: DataFrame, *keys: str) -> DataFrame:
+        """Rows of lineitem, those of a key in one task."""
+        return rows.repartition(self.line_tasks, *keys)
+
     @cached_property
     def orders(self) -> DataFrame:
         return self.table("orders")
@@ -78,19 +101,17 @@ class Catalog:
     def events(self) -> DataFrame:
         return self.table("events")
 
-    @cached_property
-    def supplier_geo(self) -> DataFrame:
-        """supplier -> (nation, region)."""
+    def with_geo(self, rows: DataFrame, supplier_key: str) -> DataFrame:
+        """Rows with their supplier's nation and region; the suppliers are joined first, as a table whose size is known."""
         nation = self.table("nation").select("n_nationkey", "n_regionkey")
-        return (self.table("supplier").select("s_suppkey", "s_nationkey")
-                .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-                .select("s_suppkey", "n_nationkey", "n_regionkey"))
+        supplier = self.table("supplier").select("s_suppkey", "s_nationkey")
+        return (rows.join(supplier, F.col(supplier_key) == F.col("s_suppkey"))
+                .join(nation, F.col("s_nationkey") == F.col("n_nationkey")).drop("s_nationkey"))
 
     @cached_property
     def line_geo(self) -> DataFrame:
         """lineitem rows with the supplier's nation and region attached."""
-        li = self.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
-        return li.join(self.supplier_geo, F.col("l_suppkey") == F.col("s_suppkey"))
+        return self.with_geo(self.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"), "l_suppkey")
 
     # -- products, brands --------------------------------------------------
     @cached_property
@@ -143,8 +164,17 @@ class Catalog:
     # -- product sets ------------------------------------------------------
     @cached_property
     def legs(self) -> DataFrame:
-        """The keys of the product-set rows: (set, leg, product, colour)."""
-        return self.lineitem.select(
+        """The keys of the product-set rows, dealt by set: (set, leg, product, colour)."""
+        return self._leg_keys(self.dealt(self.lineitem, "l_orderkey"))
+
+    @cached_property
+    def product_legs(self) -> DataFrame:
+        """The rows of ``legs``, dealt by product and colour."""
+        return self._leg_keys(self.dealt(self.lineitem, *STYLE_LINE))
+
+    @staticmethod
+    def _leg_keys(lines: DataFrame) -> DataFrame:
+        return lines.select(
             F.col("l_orderkey").alias("set_id"), F.col("l_linenumber").alias("leg_no"),
             F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("color_id")).distinct()
 
@@ -163,7 +193,7 @@ class Catalog:
     @cached_property
     def set_price_text(self) -> DataFrame:
         """(set, list_price, sale_price) texts: 'low-high' or one amount, one row for odd and one for even legs."""
-        li = self.lineitem
+        li = self.dealt(self.lineitem, "l_orderkey")
         sale = F.col("l_extendedprice").cast(DEC2) * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))
 
         def text(amount):
@@ -190,7 +220,7 @@ class Catalog:
 
     @cached_property
     def style(self) -> DataFrame:
-        return self._styles(self.lineitem.select(*self._line_keys()[:2]).distinct())
+        return self._styles(self.dealt(self.lineitem, *STYLE_LINE).select(*self._line_keys()[:2]).distinct())
 
     def _styles(self, keys: DataFrame) -> DataFrame:
         return keys.select("product_id", "color_id", self._style_status().alias("status"),
@@ -198,7 +228,7 @@ class Catalog:
 
     @cached_property
     def size(self) -> DataFrame:
-        return (self.lineitem.groupBy(*self._line_keys())
+        return (self.dealt(self.lineitem, *SIZE_LINE).groupBy(*self._line_keys())
                 .agg(F.max("l_extendedprice").cast(DEC2).alias("was_price"))
                 .select(*SIZE_KEY, self._size_status().alias("status"), "was_price"))
 
@@ -210,7 +240,7 @@ class Catalog:
 
     @cached_property
     def inventory(self) -> DataFrame:
-        return self.lineitem.groupBy(*self._line_keys()).agg(
+        return self.dealt(self.lineitem, *SIZE_LINE).groupBy(*self._line_keys()).agg(
             self._units("A").alias("quantity"), self._units("N").alias("backorder_quantity"))
 
     def _price_columns(self) -> list[F.Column]:
@@ -219,7 +249,7 @@ class Catalog:
 
     @cached_property
     def price(self) -> DataFrame:
-        return (self.lineitem.select(*self._line_keys(), *self._price_columns()).distinct()
+        return (self.dealt(self.lineitem, *SIZE_LINE).select(*self._line_keys(), *self._price_columns()).distinct()
                 .withColumnRenamed("price_status", "status"))
 
     @cached_property
@@ -227,9 +257,9 @@ class Catalog:
         """The size grain in one pass: stock, style and size status, and a summary of the size's price rows.
 
         Equal to style x size x inventory with the (distinct) prices counted:
-        first per price row, then per size, both combined map-side.
+        first per price row, then per size, both in the task that has the style.
         """
-        rows = self.lineitem.groupBy(*self._line_keys(), *self._price_columns()).agg(
+        rows = self.dealt(self.lineitem, *STYLE_LINE).groupBy(*self._line_keys(), *self._price_columns()).agg(
             F.max("l_extendedprice").cast(DEC2).alias("was"),
             self._units("A").alias("a"), self._units("N").alias("n"))
         price, active = F.col("selling_price"), F.col("price_status") == 1
@@ -282,7 +312,7 @@ class Catalog:
     @cached_property
     def category_product(self) -> DataFrame:
         """Category rows keyed by child product."""
-        g = self.line_geo
+        g = self.dealt(self.line_geo, "l_partkey")
         # max over the text ('' < ' ' < 'true'), taken on an int code so the
         # aggregate stays a hash aggregate (a string max sorts)
         code = F.when(F.col("l_linenumber") == 1, 2).when(F.col("l_linenumber") == 2, 1).otherwise(0)
@@ -297,7 +327,7 @@ class Catalog:
     @cached_property
     def set_category(self) -> DataFrame:
         """Category rows whose product is a set."""
-        return self._set_categories(self.line_geo, "l_orderkey", "l_linenumber")
+        return self._set_categories(self.dealt(self.line_geo, "l_orderkey"), "l_orderkey", "l_linenumber")
 
     @staticmethod
     def _set_categories(rows: DataFrame, set_col: str, leg_col: str) -> DataFrame:
