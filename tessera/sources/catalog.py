@@ -79,10 +79,8 @@ class Catalog:
     @cached_property
     def line_tasks(self) -> int:
         """Tasks that the product-set rows are dealt to."""
-        return self._tasks(self.lineitem)
-
-    def _tasks(self, rows: DataFrame) -> int:
-        """By the number of rows (Parquet has it in the files' footers)."""
+        given = self._given_legs()
+        rows = self.lineitem if given is None else given  # Parquet has their number in the files' footers
         return max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // LINES_PER_TASK))
 
     def dealt(self, rows: DataFrame, *keys: str) -> DataFrame:
@@ -165,12 +163,22 @@ class Catalog:
     @cached_property
     def legs(self) -> DataFrame:
         """The keys of the product-set rows, dealt by set: (set, leg, product, colour)."""
+        return self._line_legs
+
+    @cached_property
+    def _line_legs(self) -> DataFrame:
         return self._leg_keys(self.dealt(self.lineitem, "l_orderkey"))
 
+    def _given_legs(self) -> DataFrame | None:
+        """``legs`` where it was set to another relation than that of lineitem."""
+        legs = self.__dict__.get("legs")
+        return None if legs is self.__dict__.get("_line_legs") else legs
+
     @cached_property
     def product_legs(self) -> DataFrame:
-        """The rows of ``legs``, dealt by product and colour."""
-        return self._leg_keys(self.dealt(self.lineitem, *STYLE_LINE))
+        """The rows of ``legs``, dealt by product and colour (as they are where ``legs`` was given)."""
+        given = self._given_legs()
+        return given if given is not None else self._leg_keys(self.dealt(self.lineitem, *STYLE_LINE))
 
     @staticmethod
     def _leg_keys(lines: DataFrame) -> DataFrame:
