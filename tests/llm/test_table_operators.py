@@ -276,6 +276,45 @@ def test_longer_contexts_equal_brute_force(spark):
             assert (r["n_known"], r["base_score"], r["score"]) == (known, pytest.approx(base), pytest.approx(score)), texts[i]
 
 
+def test_packed_counts_equal_brute_force(spark, monkeypatch):
+    """Counts go to the merge as a row a bucket; tables have no next symbol that neither a test nor a score looks at."""
+    monkeypatch.setattr(suffix_tree, "_FLUSH", 500)
+    rng = random.Random(21)
+    texts = [" ".join([rng.choice("ab"), rng.choice("cd"), f"r{rng.randrange(60)}", rng.choice(["a", "b c"])]) for _ in range(400)]
+    code = lambda w: xxhash.xxh64_intdigest(w, suffix_tree.SEED)
+    c = Counter(w for t in texts for w in tokens_of(t.encode()))
+    after = Counter((w[i - 1], w[i]) for t in texts for w in [tokens_of(t.encode())] for i in range(1, len(w)))
+    total, least = sum(c.values()), 40
+    words = np.sort(np.array([code(w) for w in c if c[w] >= least], np.uint64))
+    value = {code(w): n for w, n in c.items()}
+    contexts = np.sort(suffix_tree.mix(np.zeros(len(words), np.uint64), words))
+    ctx = lambda w: int(suffix_tree.mix(np.zeros(1, np.uint64), np.array([code(w)], np.uint64))[0])
+    plain = lambda rows: {(r["kind"], r["ctx"] % (1 << 64), r["next"] % (1 << 64)): r["n"] for r in rows}
+    train = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    big = [w for w in c if c[w] >= least and w]
+    sizes = {(suffix_tree._SIZE, ctx(w), 0): c[w] for w in big}
+
+    held = "grams", spark.sparkContext.broadcast(([contexts], [], words, np.array([value[int(w)] for w in words])))
+    rows = suffix_tree._gram_counts(train, held, 1, True, total, least).collect()
+    got = plain(rows)
+    assert len(got) == len(rows)
+    want = {(suffix_tree._HELD, ctx(a), code(b)): n for (a, b), n in after.items()
+            if a in big and c[b] >= least and (n >= 5 or c[a] * c[b] >= 5 * total)}
+    assert {k: n for k, n in got.items() if k[0] in (suffix_tree._HELD, suffix_tree._LOOSE)} == want
+    assert {k: n for k, n in got.items() if k[0] == suffix_tree._SIZE} == sizes
+    kinds = {a: {b for x, b in after if x == a} for a in big}
+    several = Counter(k[1] for k in got if k[0] == suffix_tree._NEXT)
+    assert {a: several[ctx(a)] > 1 for a in big} == {a: len(kinds[a]) > 1 for a in big}
+
+    some = words[:2]  # the other words are not held, and go by their hashes
+    held = "nexts", spark.sparkContext.broadcast(([contexts], [contexts], contexts, some, np.array([value[int(w)] for w in some])))
+    rows = suffix_tree._next_counts(train, held, total).collect()
+    got = plain(rows)
+    assert len(got) == len(rows) and all(r["c"] == (value[r["next"] % (1 << 64)] if r["kind"] == suffix_tree._HELD else 0) for r in rows)
+    kind = lambda b: suffix_tree._HELD if code(b) in some else suffix_tree._LOOSE
+    assert got == sizes | {(kind(b), ctx(a), code(b)): n for (a, b), n in after.items() if a in big and n > 1}
+
+
 def test_contexts_of_any_length(spark):
     texts = ["a x y p", "b x y q", "a b x p", "b a x q"] * 100 + ["k l m n o p", "j l m n o q"] * 100
     df = spark.createDataFrame(list(enumerate(texts + ["a x y q", "b x y p"])), "doc_id long, text string")
